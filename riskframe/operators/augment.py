@@ -8,7 +8,7 @@ a slot number; features are double.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -24,9 +24,8 @@ from riskframe.operators.sampling import smallest_draws
 cloudpickle.register_pickle_by_value(__import__("sys").modules[__name__])
 
 
-def minority_class(df: DataFrame, label: str) -> int:
-    """The rarer of classes 0 and 1, class 0 on a tie."""
-    counts = class_counts(df, label)
+def minority_class(counts: Mapping) -> int:
+    """The rarer of classes 0 and 1 by their row counts, class 0 on a tie."""
     return 1 if counts.get(1, 0) < counts.get(0, 0) else 0
 
 
@@ -69,9 +68,11 @@ def smote_bucketed(df: DataFrame, key: str, cols: Sequence[str], label: str, k:
     """
     if scope not in ("table", "bucket"):
         raise ValueError(f"scope must be table or bucket, not {scope!r}")
-    minority = minority_class(df, label) if scope == "table" else None
+    counts = class_counts(df, label)
+    minority = minority_class(counts) if scope == "table" else None
     rows = df if minority is None else df.filter(F.col(label) == minority)
-    n_buckets = max(1, math.ceil(rows.count() / bucket_size))
+    n_rows = sum(counts.values()) if minority is None else counts.get(minority, 0)
+    n_buckets = max(1, math.ceil(n_rows / bucket_size))
     bucket = F.floor(uniform(seed, F.lit("bucket"), F.col(key)) * n_buckets)
     xs = [f"b{i}" for i in range(len(cols))]
     dealt = rows.select(bucket.alias("bucket"), F.col(key).alias("base_key"),
@@ -126,7 +127,7 @@ def smote_balance(df: DataFrame, key: str, cols: Sequence[str], label: str, k: i
     none.
     """
     counts = class_counts(df, label)
-    minority = 1 if counts.get(1, 0) < counts.get(0, 0) else 0
+    minority = minority_class(counts)
     n, other = counts.get(minority, 0), counts.get(1 - minority, 0)
     base = df.filter(F.col(label) == minority)
     k = min(k, n - 1)
@@ -134,7 +135,7 @@ def smote_balance(df: DataFrame, key: str, cols: Sequence[str], label: str, k: i
         return originals(base, key, cols, label).limit(0)
     each, extra = divmod(other - n, n)
     draw = uniform(seed, F.lit("extra"), F.col(key))
-    one_more = smallest_draws(base, label, key, draw, {minority: extra})
+    one_more = smallest_draws(base, label, key, draw, {minority: extra}, counts)
     dims = range(len(cols))
     near = knn(build_index(base, key, cols, k + 1), base, key, cols, drop_self=True)
     around = near.groupBy("query_key").agg(F.sort_array(F.collect_list(F.struct(

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from riskframe.functions.columns import known, numeric_columns, value_map
 from riskframe.operators.clean import _replace, present
 from riskframe.operators.neighbors import DonorIndex, build_index, knn
-from riskframe.operators.quantiles import quantiles
+from riskframe.operators.quantiles import OVERALL, quantiles
 
 
 @dataclass(frozen=True)
@@ -38,16 +38,14 @@ class ClassMedianImputer:
         cols = present(df, self.cols)
         if not cols:
             return ClassMedianModel({}, {}, self.label)
-        overall = quantiles(df, cols, [0.5], exact=self.exact)
-        fallback = {c: overall[None, c][0] if overall[None, c][0] is not None else 0.0
+        found = quantiles(df, cols, [0.5], by=self.label, exact=self.exact)
+        fallback = {c: found[OVERALL, c][0] if found[OVERALL, c][0] is not None else 0.0
                     for c in cols}
-        per_class = quantiles(df.filter(F.col(self.label).isin(*self.classes)), cols, [0.5],
-                              by=self.label, exact=self.exact)
         medians = {}
         for c in cols:
             medians[c] = {}
             for k in self.classes:
-                m = per_class.get((k, c), [None])[0]
+                m = found.get((k, c), [None])[0]
                 medians[c][k] = float(fallback[c] if m is None else m)
         return ClassMedianModel(medians, {c: float(v) for c, v in fallback.items()}, self.label)
 

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.functions.keyed_random import uniform
-from riskframe.sources.tables import scratch_path
+from riskframe.sources.tables import stored
 
 CELL_ROWS = 2_048       # wanted donors per cell
 MAX_CELLS = 4_096       # cells are summarised on the driver, so they are bounded
@@ -83,11 +83,14 @@ def build_index(df: DataFrame, key: str, cols: Sequence[str], k: int,
     copies = Window.partitionBy(*xs).orderBy("donor_key")
     rows = rows.withColumn("copy", F.row_number().over(copies)).filter(F.col("copy") <= k) \
         .drop("copy")
-    masked = _stored(rows.withColumn("mask", _mask(dims)), "donors")
+    masked = stored(rows.withColumn("mask", _mask(dims)), "donors")
     rows = masked.drop("mask")
-    masks = {r["mask"]: r["count"] for r in masked.groupBy("mask").count()
-             .orderBy(F.desc("count"), "mask").limit(MAX_CELLS // 4).collect()}
-    total = rows.count()
+    common = masked.groupBy("mask").count().orderBy(F.desc("count"), "mask") \
+        .limit(MAX_CELLS // 4 + 1).collect()
+    total = sum(r["count"] for r in common)
+    if len(common) > MAX_CELLS // 4:
+        total, common = masked.count(), common[:-1]
+    masks = [r["mask"] for r in common]
     wanted = min(MAX_CELLS // max(1, len(masks)), max(1, total // cell_rows))
     depth = max(0, math.floor(math.log2(max(1, wanted))))
     sample = np.empty((0, dims))
@@ -98,7 +101,7 @@ def build_index(df: DataFrame, key: str, cols: Sequence[str], k: int,
         sample = picked.to_numpy(dtype="float64", na_value=np.nan)
     centre, splits = _place_splits(sample, depth, dims)
     # rows with rare patterns of missing coordinates share one cell per leaf
-    pattern = F.when(F.col("mask").isin(list(masks)), F.col("mask")).otherwise(F.lit(-1))
+    pattern = F.when(F.col("mask").isin(masks), F.col("mask")).otherwise(F.lit(-1))
     leaf = _leaf_of(splits, centre)(*(F.col(x) for x in xs)) if splits else F.lit(0)
     placed = masked.withColumn("pattern", pattern).withColumn("leaf", leaf)
     cells = placed.groupBy("pattern", "leaf").agg(
@@ -116,14 +119,6 @@ def build_index(df: DataFrame, key: str, cols: Sequence[str], k: int,
     return DonorIndex(donors, dims, k, splits, boxes, centre)
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared scratch folder and read back: later passes then start
-    from the file, also when an executor that computed it is lost."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _nan(value):
     return float("nan") if value is None else value
 
@@ -324,7 +319,14 @@ def _round(index: DonorIndex, queries: DataFrame, first: bool) -> DataFrame:
                         T.StructField("dist2", T.DoubleType()),
                         *(T.StructField(f"d{x}", T.DoubleType()) for x in xs)])
     search = _best_donors(k, index.dims)
-    return (sent.groupBy("cell", "dc", "qc").cogroup(donors.groupBy("cell", "dc", "qc"))
+    # the work of a group is far larger than its bytes, so the groups are not
+    # packed by size: one task each, or a few where there are many
+    cores = queries.sparkSession.sparkContext.defaultParallelism
+    groups = sum(d * q for d, q in shape.values())
+    parts = max(1, min(groups, max(4 * cores, groups // 8)))
+    group = ["cell", "dc", "qc"]
+    sent, donors = sent.repartition(parts, *group), donors.repartition(parts, *group)
+    return (sent.groupBy(*group).cogroup(donors.groupBy(*group))
             .applyInPandas(lambda q, d: search(q, d), out))
 
 
@@ -353,7 +355,7 @@ def knn(index: DonorIndex, df: DataFrame, key: str, cols: Sequence[str],
     want = index.k - 1 if drop_self else index.k
     found = _round(index, queries, first=True)
     if len(index.boxes["n"]) > 1:
-        found = _stored(found, "near")
+        found = stored(found, "near")
         bound = _top(found, index.k).groupBy("query_key", "target").agg(
             F.max("dist2").alias("far"), F.count("*").alias("n"))
         reach = queries.join(bound, ["query_key", "target"], "left").withColumn(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.columns import known, value_map
 from riskframe.operators.clean import MAX_CLASSES, class_counts, classes_of, split_feature_columns
-from riskframe.operators.quantiles import ACCURACY, exact_quantiles
+from riskframe.operators.quantiles import ACCURACY, OVERALL, exact_quantiles
 
 
 def overview(df: DataFrame, label: str, categorical: Iterable[str] = (),
@@ -36,7 +36,7 @@ def describe_numeric(df: DataFrame, cols: Iterable[str], exact: bool = False,
     def line(c):
         v = known(df, c).cast("double")
         if exact:
-            q = [F.lit(x).cast("double") for x in quartiles[None, c]]
+            q = [F.lit(x).cast("double") for x in quartiles[OVERALL, c]]
         else:
             sketch = F.percentile_approx(v, [0.25, 0.5, 0.75], ACCURACY)
             q = [sketch[i] for i in range(3)]

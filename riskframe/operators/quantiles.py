@@ -12,7 +12,7 @@ pre-aggregated scan of the needed columns, no task holds more than a histogram.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -21,89 +21,99 @@ from pyspark.sql import functions as F
 from riskframe.functions.columns import known
 from riskframe.operators.clean import MAX_CLASSES
 
-ACCURACY = 10_000      # sketch error is 1 / ACCURACY of the rows
-FETCH_ROWS = 10_000    # distinct values fetched for one bracket
+ACCURACY = 10_000          # approximate quantiles are off by 1 / ACCURACY of the rows
+BRACKET_ACCURACY = 1_000   # the same for the sketch that proposes brackets
+FETCH_ROWS = 10_000        # rows listed in the last pass, per bracket
 BINS = 1_024
 
 
+class _Overall:
+    def __repr__(self):
+        return "OVERALL"
+
+
+OVERALL = _Overall()       # stands for "all rows" beside the groups of ``by``
+
+
 @dataclass
 class _Target:
     group: object
     col: str
+    n: int             # rows with a value
     first: int         # wanted ranks, counted from 0; first <= last <= first + 1
     last: int
     lo: float
     hi: float
     below: int = 0     # rows under lo
     inside: int = 0    # rows in [lo, hi]
+    guess: tuple[float, float] | None = None
     value: tuple[float, float] | None = None
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: str | None = None,
               exact: bool = False) -> dict:
-    """``{(group, column): [value per prob]}``, group None without ``by``.
+    """``{(group, column): [value per prob]}`` for each group of ``by`` and for
+    OVERALL, all rows.
 
     Exact values interpolate linearly between neighbours. Approximate ones are
     values of the table. Columns without any value map to None per prob.
     """
     if exact:
         return exact_quantiles(df, cols, probs, by)
-    stats = _stats(df, cols, [float(p) for p in probs], by)
+    stats = _stats(df, cols, probs, by, ACCURACY)
     return {k: s["near"] if s["n"] else [None] * len(probs) for k, s in stats.items()}
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     by: str | None = None) -> dict:
-    def ranks(group, col, n):
-        return [(math.floor(p * (n - 1)), math.ceil(p * (n - 1))) for p in probs]
-
-    def blend(n, p, pair):
-        at = p * (n - 1)
-        part = at - math.floor(at)
-        return pair[0] + (pair[1] - pair[0]) * part
-
-    found, counts = _order_statistics(df, cols, ranks, by)
-    return {k: [blend(counts[k], p, v) for p, v in zip(probs, found[k])] if counts[k]
-            else [None] * len(probs) for k in counts}
-
-
-def ranked_values(df: DataFrame, col: str, ranks: dict, by: str) -> dict:
-    """``{group: value}`` holding the value of the given rank (from 0) per group."""
-    found, _ = _order_statistics(
-        df, [col], lambda g, c, n: [(ranks[g], ranks[g])] if g in ranks else [], by)
-    return {g: v[0][0] for (g, _), v in found.items() if v}
-
-
-def _stats(df, cols, probs, by):
-    grouped = df.groupBy(by) if by else df.groupBy()
-    aggs = []
+    slack = 2.0 / BRACKET_ACCURACY
+    around = [max(0.0, p - slack) for p in probs] + [min(1.0, p + slack) for p in probs]
+    stats = _stats(df, cols, around, by, BRACKET_ACCURACY)
+    targets = {k: [_target(*k, s, p, s["near"][i], s["near"][i + len(probs)])
+                   for i, p in enumerate(probs)] for k, s in stats.items() if s["n"]}
+    _resolve(df, cols, by, [t for ts in targets.values() for t in ts])
+
+    def blend(t, p):
+        at = p * (t.n - 1)
+        low, high = t.value
+        return low + (high - low) * (at - math.floor(at))
+
+    return {k: [blend(t, p) for t, p in zip(targets[k], probs)] if k in targets
+            else [None] * len(probs) for k in stats}
+
+
+def _target(group, col, stats, p, lo, hi) -> _Target:
+    n = stats["n"]
+    at = p * (n - 1)
+    t = _Target(group, col, n, math.floor(at), math.ceil(at), stats["min"], stats["max"], 0, n)
+    if n > FETCH_ROWS:
+        t.guess = (lo, hi)
+    return t
+
+
+def _stats(df, cols, probs, by, accuracy):
+    grouped = df.rollup(by) if by else df.groupBy()
+    aggs = [(F.grouping(by) if by else F.lit(1)).alias("overall")]
     for i, c in enumerate(cols):
         v = known(df, c).cast("double")
         aggs += [F.count(v).alias(f"n{i}"), F.min(v).alias(f"min{i}"), F.max(v).alias(f"max{i}"),
-                 F.percentile_approx(v, [float(p) for p in probs], ACCURACY).alias(f"near{i}")]
-    rows = grouped.agg(*aggs).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
+                 F.percentile_approx(v, [float(p) for p in probs], accuracy).alias(f"near{i}")]
+    rows = grouped.agg(*aggs).limit(MAX_CLASSES + 2).collect()
+    if len(rows) > MAX_CLASSES + 1:
         raise ValueError(f"{by} has more than {MAX_CLASSES} values")
-    return {(r[by] if by else None, c): {"n": r[f"n{i}"], "min": r[f"min{i}"],
+    return {(OVERALL if r["overall"] else r[by], c): {"n": r[f"n{i}"], "min": r[f"min{i}"],
                                          "max": r[f"max{i}"], "near": r[f"near{i}"]}
             for r in rows for i, c in enumerate(cols)}
 
 
-def _order_statistics(df: DataFrame, cols: Sequence[str], ranks: Callable, by: str | None):
-    counts = _counts(df, cols, by)
-    targets, small = {}, True
-    for (g, c), s in counts.items():
-        pairs = ranks(g, c, s["n"]) if s["n"] else []
-        targets[g, c] = [_Target(g, c, a, b, s["min"], s["max"], 0, s["n"]) for a, b in pairs]
-        small &= s["n"] <= FETCH_ROWS
-    todo = [t for ts in targets.values() for t in ts]
+def _resolve(df, cols, by, todo) -> None:
+    """Find the values at the wanted ranks of all targets, pass by pass."""
     if any(not (math.isfinite(t.lo) and math.isfinite(t.hi)) for t in todo):
         raise ValueError("exact quantiles need finite values")
     long = df.select(F.col(by).alias("g") if by else F.lit(None).alias("g"),
                      *(known(df, c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)))
     index = {c: i for i, c in enumerate(cols)}
-    if todo and not small:
-        _bracket(df, cols, by, todo, long, index, {k: s["n"] for k, s in counts.items()})
+    _check_guesses(long, index, [t for t in todo if t.guess])
     while True:
         for t in todo:
             if t.value is None and t.lo == t.hi:
@@ -113,57 +123,42 @@ def _order_statistics(df: DataFrame, cols: Sequence[str], ranks: Callable, by: s
             break
         _narrow(long, index, wide)
     _fetch(long, index, [t for t in todo if t.value is None])
-    return ({k: [t.value for t in ts] for k, ts in targets.items()},
-            {k: s["n"] for k, s in counts.items()})
 
 
-def _counts(df, cols, by):
-    grouped = df.groupBy(by) if by else df.groupBy()
-    aggs = []
-    for i, c in enumerate(cols):
-        v = known(df, c).cast("double")
-        aggs += [F.count(v).alias(f"n{i}"), F.min(v).alias(f"min{i}"), F.max(v).alias(f"max{i}")]
-    rows = grouped.agg(*aggs).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{by} has more than {MAX_CLASSES} values")
-    return {(r[by] if by else None, c): {"n": r[f"n{i}"], "min": r[f"min{i}"], "max": r[f"max{i}"]}
-            for r in rows for i, c in enumerate(cols)}
+def _is_in(t):
+    return F.lit(True) if t.group is OVERALL else F.col("g").eqNullSafe(F.lit(t.group))
 
 
-def _bracket(df, cols, by, todo, long, index, totals):
-    """Propose brackets from the sketch, keep those that really hold the ranks."""
-    slack = 2.0 / ACCURACY
-    probs = {}
-    for t in todo:
-        n = max(totals[t.group, t.col] - 1, 1)
-        probs[id(t)] = (max(0.0, t.first / n - slack), min(1.0, t.last / n + slack))
-    grid = sorted({p for pair in probs.values() for p in pair})
-    near = _stats(df, cols, grid, by)
-    proposals = []
-    for t in todo:
-        values = dict(zip(grid, near[t.group, t.col]["near"]))
-        proposals.append((t, *(values[p] for p in probs[id(t)])))
+def _check_guesses(long, index, todo) -> None:
+    """Take over those proposed brackets that really hold the wanted ranks."""
+    if not todo:
+        return
     aggs = []
-    for j, (t, lo, hi) in enumerate(proposals):
-        v, mine = F.col(f"v{index[t.col]}"), F.col("g").eqNullSafe(F.lit(t.group))
-        aggs += [F.count_if(mine & (v < lo)).alias(f"b{j}"),
-                 F.count_if(mine & v.between(lo, hi)).alias(f"i{j}")]
+    for j, t in enumerate(todo):
+        v, mine = F.col(f"v{index[t.col]}"), _is_in(t)
+        aggs += [F.count_if(mine & (v < t.guess[0])).alias(f"b{j}"),
+                 F.count_if(mine & v.between(*t.guess)).alias(f"i{j}")]
     row = long.agg(*aggs).first()
-    for j, (t, lo, hi) in enumerate(proposals):
+    for j, t in enumerate(todo):
         below, inside = row[f"b{j}"], row[f"i{j}"]
         if below <= t.first and t.last < below + inside:
-            t.lo, t.hi, t.below, t.inside = lo, hi, below, inside
+            (t.lo, t.hi), t.below, t.inside = t.guess, below, inside
 
 
 def _hits(long, index, targets, detail):
     """Rows inside some bracket as (target, ``detail(value, target)``, value)."""
+    def inside(t):
+        return _is_in(t) & F.col(f"v{index[t.col]}").between(t.lo, t.hi)
+
     def hit(j, t):
         v = F.col(f"v{index[t.col]}")
-        mine = F.col("g").eqNullSafe(F.lit(t.group)) & v.between(t.lo, t.hi)
-        return F.when(mine, F.struct(F.lit(j).alias("t"), detail(v, t).alias("d"), v.alias("v")))
-    found = F.filter(F.array(*(hit(j, t) for j, t in enumerate(targets))),
-                     lambda x: x.isNotNull())
-    return long.select(F.explode(found).alias("h")).select("h.*")
+        return F.when(inside(t), F.struct(F.lit(j).alias("t"), detail(v, t).alias("d"),
+                                          v.alias("v")))
+    some = F.lit(False)
+    for t in targets:
+        some = some | inside(t)
+    found = F.explode(F.array(*(hit(j, t) for j, t in enumerate(targets))))
+    return long.filter(some).select(found.alias("h")).filter(F.col("h").isNotNull()).select("h.*")
 
 
 def _narrow(long, index, targets):

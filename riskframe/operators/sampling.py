@@ -7,6 +7,7 @@ partitioning, selects the same rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.keyed_random import normal, uniform
 from riskframe.operators.clean import _replace, class_counts
-from riskframe.operators.quantiles import ranked_values
+from riskframe.operators.quantiles import FETCH_ROWS
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test_frac: float = 0.2, seed: int = 42,
@@ -38,43 +39,73 @@ def test_side(df: DataFrame, label: str, key: str, test_frac: float = 0.2, seed:
         return draw < test_frac
     counts = class_counts(df, label)
     wanted = {k: int(test_frac * n + 0.5) for k, n in counts.items()}
-    return smallest_draws(df, label, key, draw, wanted)
+    return smallest_draws(df, label, key, draw, wanted, counts)
 
 
 test_side.__test__ = False
 
 
-def smallest_draws(df: DataFrame, label: str, key: str, draw: Column, wanted: Mapping) -> Column:
+def smallest_draws(df: DataFrame, label: str, key: str, draw: Column, wanted: Mapping,
+                   counts: Mapping) -> Column:
     """Boolean column, true for the ``wanted[class]`` rows with the smallest
-    (draw, key) of each class.
+    (draw, key) of each class. ``counts`` holds the rows per class.
 
     The cut value is found by counting passes, not by sorting or ranking, so no
     task ever holds a class.
     """
     sized = {k: n for k, n in wanted.items() if n > 0}
     drawn = df.select(F.col(label).alias("y"), F.col(key).alias("k"), draw.alias("u"))
-    cuts = ranked_values(drawn, "u", {k: n - 1 for k, n in sized.items()}, by="y") if sized else {}
-    if not cuts:
-        return F.lit(False)
-
-    def cls(column, value):
-        return column.eqNullSafe(F.lit(value))
-
-    # equal draws of different keys are all but impossible; the key decides them
-    below = drawn.agg(*(F.count_if(cls(F.col("y"), k) & (F.col("u") < cut)).alias(f"c{i}")
-                        for i, (k, cut) in enumerate(cuts.items()))).first()
-    at_cut = F.lit(False)
-    for k, cut in cuts.items():
-        at_cut = at_cut | (cls(F.col("y"), k) & (F.col("u") == cut))
-    ties = drawn.filter(at_cut).select("y", "k").collect()
+    cuts = _cut_draws(drawn, sized, counts) if sized else {}
     chosen = F.lit(False)
-    for i, (k, cut) in enumerate(cuts.items()):
-        tied = sorted(r["k"] for r in ties if r["y"] == k)[: sized[k] - below[f"c{i}"]]
-        mine = cls(F.col(label), k)
-        chosen = chosen | (mine & ((draw < cut) | ((draw == cut) & F.col(key).isin(tied))))
+    for k, (u, last) in cuts.items():
+        mine = F.col(label).eqNullSafe(F.lit(k))
+        # equal draws of different keys are all but impossible; the key decides them
+        chosen = chosen | (mine & ((draw < u) | ((draw == u) & (F.col(key) <= F.lit(last)))))
     return chosen
 
 
+def _cut_draws(drawn: DataFrame, wanted: Mapping, counts: Mapping) -> dict:
+    """Per class the (draw, key) of its ``wanted``-th row in the order of draws.
+
+    Draws are spread evenly, so each counting pass leaves a thin slice of
+    [0, 1) around the cut, and the last pass lists a slice of bounded size.
+    """
+    slices = {k: (0.0, 1.0, 0, counts[k]) for k in wanted}      # from, to, rows before, inside
+
+    def inside(k):
+        lo, hi, _, _ = slices[k]
+        return F.col("y").eqNullSafe(F.lit(k)) & (F.col("u") >= lo) & (F.col("u") < hi)
+
+    while wide := [k for k, s in slices.items() if s[3] > FETCH_ROWS]:
+        bins = {k: min(65_536, math.ceil(slices[k][3] / 1_000)) for k in wide}
+        place = F.lit(None).cast("struct<c:int,b:int>")
+        for i, k in enumerate(wide):
+            lo, hi, _, _ = slices[k]
+            at = F.floor((F.col("u") - lo) / (hi - lo) * bins[k]).cast("int")
+            place = F.when(inside(k), F.struct(F.lit(i).alias("c"),
+                                               F.least(at, F.lit(bins[k] - 1)).alias("b"))) \
+                .otherwise(place)
+        rows = (drawn.select(place.alias("p"), "u").filter(F.col("p").isNotNull())
+                .groupBy("p.c", "p.b").agg(F.count("*").alias("n"), F.min("u").alias("lo"),
+                                           F.max("u").alias("hi")).collect())
+        for i, k in enumerate(wide):
+            before = slices[k][2]
+            for r in sorted((r for r in rows if r["c"] == i), key=lambda r: r["b"]):
+                if wanted[k] <= before + r["n"]:
+                    slices[k] = (r["lo"], math.nextafter(r["hi"], 2.0), before, r["n"])
+                    break
+                before += r["n"]
+    near = F.lit(False)
+    for k in slices:
+        near = near | inside(k)
+    rows = drawn.filter(near).collect()
+    cuts = {}
+    for k, (_, _, before, _) in slices.items():
+        mine = sorted((r["u"], r["k"]) for r in rows if r["y"] == k)
+        cuts[k] = mine[wanted[k] - before - 1]
+    return cuts
+
+
 def random_split(df: DataFrame, test_frac: float = 0.2, seed: int = 42) \
         -> tuple[DataFrame, DataFrame]:
     """Spark's own random split. Depends on partitioning; prefer
@@ -102,9 +133,17 @@ def replicate(df: DataFrame, n: int, column: str = "copy") -> DataFrame:
     return df.withColumn(column, F.explode(F.sequence(F.lit(1), F.lit(n))))
 
 
-def shuffle_rows(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
-    """Rows in random order: a range sort on the keyed draw."""
-    return df.orderBy(uniform(seed, F.lit("order"), F.col(key)), F.col(key))
+def shuffle_rows(df: DataFrame, key: str, seed: int = 42,
+                 partitions: int | None = None) -> DataFrame:
+    """Rows in random order, the order of a keyed draw.
+
+    The draws are spread evenly, so each row's partition follows from its draw.
+    That saves the extra run of the input by which a range sort finds its ranges.
+    """
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    drawn = df.withColumn("_draw", uniform(seed, F.lit("order"), F.col(key)))
+    placed = drawn.repartitionById(n, F.floor(F.col("_draw") * n).cast("int"))
+    return placed.sortWithinPartitions("_draw", key).drop("_draw")
 
 
 def append_rows(df: DataFrame, extra: DataFrame) -> DataFrame:

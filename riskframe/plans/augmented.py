@@ -9,15 +9,14 @@ from riskframe.functions.columns import numeric_columns
 from riskframe.operators.augment import originals, smote_bucketed
 from riskframe.operators.clean import (TARGET_NAMES, binarize_label, find_target, nan_to_null)
 from riskframe.operators.impute import MedianImputer
-from riskframe.operators.neighbors import _stored
 from riskframe.operators.sampling import (add_noise, append_rows, replicate, shuffle_rows)
-from riskframe.sources.tables import trim_headers
+from riskframe.sources.tables import stored, trim_headers
 
 
 def with_row_key(df: DataFrame, name: str = "row_key") -> DataFrame:
     """Number the rows of a table without a key and store the result, so that
     the numbers stay the same whenever it is read again."""
-    return _stored(df.withColumn(name, F.monotonically_increasing_id()), "keyed")
+    return stored(df.withColumn(name, F.monotonically_increasing_id()), "keyed")
 
 
 def augment_table(df: DataFrame, key: str | None = None, k: int = 5, bucket_size: int = 256,

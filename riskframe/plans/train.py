@@ -64,11 +64,23 @@ def build_stages(numeric: Sequence[str], categorical: Sequence[str], label: str,
     return Pipeline(stages=[*stages, classifier])
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a table of few, small files one partition per core.
+
+    Training passes over the rows many times, each pass as parallel as the rows
+    are partitioned. A table with enough partitions is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def fit_model(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str,
               algo: str = "lr", params: Mapping | None = None,
               weight: str | None = "_class_weight", scale_encoded: bool = True) -> PipelineModel:
     """Fit the stages; refuses categoricals with too many values to encode."""
     check_cardinality(train, categorical)
+    used = [*numeric, *categorical, label, *([weight] if weight else [])]
+    train = spread(train.select(*used))
     return build_stages(numeric, categorical, label, algo, params, weight,
                         scale_encoded).fit(train)
 
