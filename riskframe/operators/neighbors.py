@@ -182,7 +182,7 @@ def _box_distance(queries: np.ndarray, targets: np.ndarray, boxes: dict):
         acc += np.where(both, gap * gap, 0.0)
         shared += both
     with np.errstate(divide="ignore", invalid="ignore"):
-        near = np.where(shared > 0, acc * dims / shared, np.inf)
+        near = np.where(shared > 0, acc * (dims / shared), np.inf)
     bit = np.where(targets < 0, 0, np.left_shift(np.int64(1), np.maximum(targets, 0)))
     lacks = (bit[:, None] & ~boxes["pattern"][None, :]) != 0
     mixed = boxes["pattern"] < 0
@@ -250,7 +250,7 @@ def _best_donors(k: int, dims: int):
                 acc += np.where(both, gap * gap, 0.0)
                 shared += both
             with np.errstate(divide="ignore", invalid="ignore"):
-                acc = np.where(shared > 0, acc * dims / shared, np.inf)
+                acc = np.where(shared > 0, acc * (dims / shared), np.inf)
             target = part["target"].to_numpy()
             has = ~np.isnan(d)
             for t in np.unique(target[target >= 0]):

@@ -68,7 +68,8 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
         lo, hi = lo - 0.5, hi + 0.5
     width = (hi - lo) / bins
     # the bucket function numbers the maximum itself one past the last bin
-    bucket = F.least(F.width_bucket(value, F.lit(lo), F.lit(hi), F.lit(bins)), F.lit(bins))
+    bucket = F.when(value.isNotNull(), F.least(
+        F.width_bucket(value, F.lit(lo), F.lit(hi), F.lit(bins)), F.lit(bins)))
     counts = (df.select(bucket.cast("int").alias("bin")).filter("bin is not null")
               .groupBy("bin").agg(F.count("*").alias("n_rows")))
     empty = numbers.select("bin", F.lit(0).cast("long").alias("n_rows"))
@@ -86,14 +87,14 @@ def correlation(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     values = df.select(*(known(df, c).cast("double").alias(c) for c in cols))
 
     def lines(a, b):
-        r = F.corr(a, b)
+        # over the rows that have both; a constant column gives null
+        r = F.try_divide(F.regr_sxy(a, b), F.sqrt(F.regr_sxx(a, b) * F.regr_syy(a, b)))
         one = F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.alias("r"))
         other = F.struct(F.lit(b).alias("a"), F.lit(a).alias("b"), r.alias("r"))
         return [one] if a == b else [one, other]
 
     cells = [x for a, b in combinations_with_replacement(cols, 2) for x in lines(a, b)]
-    long = values.agg(F.array(*cells).alias("m")).select(F.inline("m"))
-    return long.withColumn("r", F.when(~F.isnan("r"), F.col("r")))
+    return values.agg(F.array(*cells).alias("m")).select(F.inline("m"))
 
 
 def class_balance(df: DataFrame, label: str, names: Mapping[int, str] | None = None) -> DataFrame:

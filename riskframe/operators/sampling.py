@@ -7,7 +7,6 @@ partitioning, selects the same rows.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -74,10 +73,10 @@ def _cut_draws(drawn: DataFrame, wanted: Mapping, counts: Mapping) -> dict:
 
     def inside(k):
         lo, hi, _, _ = slices[k]
-        return F.col("y").eqNullSafe(F.lit(k)) & (F.col("u") >= lo) & (F.col("u") < hi)
+        return F.col("y").eqNullSafe(F.lit(k)) & F.col("u").between(lo, hi)
 
-    while wide := [k for k, s in slices.items() if s[3] > FETCH_ROWS]:
-        bins = {k: min(65_536, math.ceil(slices[k][3] / 1_000)) for k in wide}
+    while wide := [k for k, (lo, hi, _, n) in slices.items() if n > FETCH_ROWS and lo < hi]:
+        bins = {k: min(65_536, 16 + slices[k][3] // 1_000) for k in wide}
         place = F.lit(None).cast("struct<c:int,b:int>")
         for i, k in enumerate(wide):
             lo, hi, _, _ = slices[k]
@@ -92,17 +91,21 @@ def _cut_draws(drawn: DataFrame, wanted: Mapping, counts: Mapping) -> dict:
             before = slices[k][2]
             for r in sorted((r for r in rows if r["c"] == i), key=lambda r: r["b"]):
                 if wanted[k] <= before + r["n"]:
-                    slices[k] = (r["lo"], math.nextafter(r["hi"], 2.0), before, r["n"])
+                    slices[k] = (r["lo"], r["hi"], before, r["n"])
                     break
                 before += r["n"]
     near = F.lit(False)
     for k in slices:
         near = near | inside(k)
-    rows = drawn.filter(near).collect()
+    # counted by key, so that rows sharing a key stay one entry
+    rows = drawn.filter(near).groupBy("y", "u", "k").count().collect()
     cuts = {}
     for k, (_, _, before, _) in slices.items():
-        mine = sorted((r["u"], r["k"]) for r in rows if r["y"] == k)
-        cuts[k] = mine[wanted[k] - before - 1]
+        for u, key, n in sorted((r["u"], r["k"], r["count"]) for r in rows if r["y"] == k):
+            before += n
+            if before >= wanted[k]:
+                cuts[k] = (u, key)
+                break
     return cuts
 
 
