@@ -2,7 +2,8 @@
 
 The draws are keyed hashes, so the synthetic rows are the same on every run and
 every partitioning. Synthetic rows get a text key made of the base row's key and
-a slot number; features are double.
+a slot number; features are double and must be filled first: a row with a missing
+feature gives synthetic rows that lack it too.
 """
 
 from __future__ import annotations
