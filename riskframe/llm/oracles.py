@@ -74,5 +74,44 @@ SELECT *, row_number() OVER (PARTITION BY shard ORDER BY doc_id, size, text_crc3
 """
 
 
+OP7 = r"""
+WITH body AS (
+  SELECT doc_id, coalesce(source, chr(0)) AS host, coalesce(text, '') AS text FROM documents
+), word AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+'), lambda w: w <> '') AS w FROM body
+), line AS (
+  SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ \t\n\x0B\f\r]')) AS l FROM body
+), windows AS (
+  SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM word WHERE len(w) >= 3
+), counted AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n FROM windows
+), covered AS (
+  SELECT doc_id, count(DISTINCT j) AS n_repeat_words
+  FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM counted WHERE n > 1) GROUP BY doc_id
+), base AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+         coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM body JOIN word USING (doc_id) JOIN line USING (doc_id) LEFT JOIN covered USING (doc_id)
+), short AS (
+  SELECT doc_id, host, text,
+    regexp_replace(regexp_replace(translate(trim(x, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\x0B\f\r]+', ' ', 'g'), '[0-9]', '0', 'g') AS plain,
+    length(regexp_replace(x, '[ \t\x0B\f\r]+', '', 'g')) AS chars
+  FROM (SELECT doc_id, host, text, unnest(l) AS x FROM body JOIN line USING (doc_id)) WHERE length(x) <= 200
+), frequent AS (
+  SELECT host, plain FROM short GROUP BY host, plain HAVING count(DISTINCT text) > 20
+), lost AS (
+  SELECT doc_id, CAST(sum(chars) AS BIGINT) AS lost_chars FROM short JOIN frequent USING (host, plain) GROUP BY doc_id
+), judged AS (
+  SELECT base.*, coalesce(lost_chars, 0) AS lost_chars,
+         n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed
+  FROM base LEFT JOIN lost USING (doc_id)
+)
+SELECT *, NOT base_failed AND lost_chars <= 0.5 * word_chars AS kept FROM judged
+"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op2_url_filter": OP2, "op4_rendezvous_shards": OP4}
+    return {"op2_url_filter": OP2, "op4_rendezvous_shards": OP4, "op7_quality_rules": OP7}

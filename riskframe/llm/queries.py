@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import table
+from riskframe.llm.quality import judge_quality
 from riskframe.llm.secrets import scan_secrets
 from riskframe.llm.sharding import rendezvous, shard_records
 from riskframe.llm.urls import canonical, host_of, judge_urls, path_of
@@ -51,5 +52,12 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *span_digest(F.col("spans"), ["assign", "access", "hex"]))
 
 
-QUERIES = {f.__name__: f for f in (op2_url_filter, op4_rendezvous_shards, op5_secret_scan)}
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge_quality(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "lost_chars", "base_failed", "kept")
+
+
+QUERIES = {f.__name__: f for f in (op2_url_filter, op4_rendezvous_shards, op5_secret_scan,
+                                  op7_quality_rules)}
 ORACLES = {k: v for k, v in oracles().items() if k in QUERIES}
