@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import table
+from riskframe.llm.packing import pack_documents
 from riskframe.llm.quality import judge_quality
 from riskframe.llm.secrets import scan_secrets
 from riskframe.llm.sharding import rendezvous, shard_records
@@ -58,6 +59,12 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "lost_chars", "base_failed", "kept")
 
 
+def op10_configuration_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    docs = table(spark, sf_dir, "documents")
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {f.__name__: f for f in (op2_url_filter, op4_rendezvous_shards, op5_secret_scan,
-                                  op7_quality_rules)}
+                                  op7_quality_rules, op10_configuration_packing)}
 ORACLES = {k: v for k, v in oracles().items() if k in QUERIES}
