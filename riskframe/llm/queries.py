@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import table
+from riskframe.llm.common import table, words_of
+from riskframe.llm.mixing import copies_of, mixing_rates
 from riskframe.llm.packing import pack_documents
 from riskframe.llm.quality import judge_quality
 from riskframe.llm.secrets import scan_secrets
@@ -30,6 +31,27 @@ def span_digest(spans: Column, kinds: list[str]) -> list[Column]:
     return [*counts, F.sha2(told(base), 256).alias("base_sha256"), told(spans).alias("spans")]
 
 
+DOMAINS = ["good", "poor", "toxic_good", "toxic_poor"]
+TARGETS = {"good": 0.85, "poor": 0.15, "toxic_good": 0.0, "toxic_poor": 0.0}
+
+
+def domain_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, domain) of the labelled documents: their quality, and whether toxic."""
+    return table(spark, sf_dir, "labels").select("doc_id", F.concat(
+        F.when(F.col("toxic") == 1, "toxic_").otherwise(""),
+        F.when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "poor")).alias("domain"))
+
+
+def op1_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model, rates = mixing_rates(docs, domain_labels(spark, sf_dir), TARGETS, DOMAINS)
+    rated = docs.select("doc_id", F.size(words_of(F.col("text"))).cast("long").alias("tokens"),
+                        model.posteriors(F.col("text")).alias("_p"))
+    rate = rates.of(F.col("_p"))
+    return rated.select("doc_id", "tokens", *(F.get("_p", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(DOMAINS)),
+                        rate.alias("rate"), copies_of(rate, F.col("doc_id")).alias("copies"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page judged. The list: canonical URLs of the pages of known spam hosts."""
     pages = table(spark, sf_dir, "pages")
@@ -65,6 +87,6 @@ def op10_configuration_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_url_filter, op4_rendezvous_shards, op5_secret_scan,
+QUERIES = {f.__name__: f for f in (op1_soft_mixing, op2_url_filter, op4_rendezvous_shards, op5_secret_scan,
                                   op7_quality_rules, op10_configuration_packing)}
 ORACLES = {k: v for k, v in oracles().items() if k in QUERIES}
