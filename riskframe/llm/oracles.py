@@ -113,5 +113,22 @@ SELECT *, NOT base_failed AND lost_chars <= 0.5 * word_chars AS kept FROM judged
 """
 
 
+OP9 = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, d.vec_id,
+         CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * d.v[i])) AS BIGINT) AS score
+  FROM usable q JOIN usable d ON q.vec_id <> d.vec_id WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op2_url_filter": OP2, "op4_rendezvous_shards": OP4, "op7_quality_rules": OP7}
+    return {"op2_url_filter": OP2, "op4_rendezvous_shards": OP4, "op7_quality_rules": OP7,
+            "op9_dual_tree_topk": OP9}

@@ -11,6 +11,7 @@ from riskframe.llm.packing import pack_documents
 from riskframe.llm.quality import judge_quality
 from riskframe.llm.secrets import scan_secrets
 from riskframe.llm.sharding import rendezvous, shard_records
+from riskframe.llm.topk import top_inner_products
 from riskframe.llm.urls import canonical, host_of, judge_urls, path_of
 from riskframe.llm.oracles import URL_LISTED_HOSTS, oracles
 
@@ -81,6 +82,12 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "lost_chars", "base_failed", "kept")
 
 
+def op9_dual_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    found = top_inner_products(vectors.where(F.col("vec_id") % 50 == 0), vectors, "vec_id", "embedding", 5)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op10_configuration_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     docs = table(spark, sf_dir, "documents")
@@ -88,5 +95,5 @@ def op10_configuration_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_soft_mixing, op2_url_filter, op4_rendezvous_shards, op5_secret_scan,
-                                  op7_quality_rules, op10_configuration_packing)}
+                                  op7_quality_rules, op9_dual_tree_topk, op10_configuration_packing)}
 ORACLES = {k: v for k, v in oracles().items() if k in QUERIES}
