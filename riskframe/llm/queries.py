@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from riskframe.llm.common import table, words_of
 from riskframe.llm.mixing import copies_of, mixing_rates
+from riskframe.llm.neardup import near_duplicates
 from riskframe.llm.packing import pack_documents
 from riskframe.llm.quality import judge_quality
 from riskframe.llm.secrets import scan_secrets
@@ -82,6 +83,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "lost_chars", "base_failed", "kept")
 
 
+def op8_hyperminhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"), shingle=4, threshold=0.8)
+    return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"), "kept")
+
+
 def op9_dual_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     found = top_inner_products(vectors.where(F.col("vec_id") % 50 == 0), vectors, "vec_id", "embedding", 5)
@@ -95,5 +101,5 @@ def op10_configuration_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_soft_mixing, op2_url_filter, op4_rendezvous_shards, op5_secret_scan,
-                                  op7_quality_rules, op9_dual_tree_topk, op10_configuration_packing)}
+                                  op7_quality_rules, op8_hyperminhash_neardup, op9_dual_tree_topk, op10_configuration_packing)}
 ORACLES = {k: v for k, v in oracles().items() if k in QUERIES}
