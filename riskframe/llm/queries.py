@@ -9,6 +9,7 @@ from riskframe.llm.common import table, words_of
 from riskframe.llm.mixing import copies_of, mixing_rates
 from riskframe.llm.neardup import near_duplicates
 from riskframe.llm.packing import pack_documents
+from riskframe.llm.pii import find_personal
 from riskframe.llm.quality import judge_quality
 from riskframe.llm.secrets import scan_secrets
 from riskframe.llm.sharding import rendezvous, shard_records
@@ -77,6 +78,11 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *span_digest(F.col("spans"), ["assign", "access", "hex"]))
 
 
+def op6_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *span_digest(F.col("spans"), ["email", "ip", "card", "phone"]))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge_quality(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -101,5 +107,5 @@ def op10_configuration_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_soft_mixing, op2_url_filter, op4_rendezvous_shards, op5_secret_scan,
-                                  op7_quality_rules, op8_hyperminhash_neardup, op9_dual_tree_topk, op10_configuration_packing)}
+                                  op6_weak_supervision_pii, op7_quality_rules, op8_hyperminhash_neardup, op9_dual_tree_topk, op10_configuration_packing)}
 ORACLES = {k: v for k, v in oracles().items() if k in QUERIES}
