@@ -185,12 +185,14 @@ def fit_rates(members: DataFrame, targets: Mapping[str, float], domains: Sequenc
 
 
 def mixing_rates(df: DataFrame, labels: DataFrame, targets: Mapping[str, float], domains: Sequence[str],
-                 key: str = "doc_id", text: str = "text") -> tuple[DomainModel, Rates]:
-    """The fitted classifier and rates; both apply to a text column as expressions."""
+                 key: str = "doc_id", text: str = "text") -> tuple[DomainModel, Rates, DataFrame]:
+    """The fitted classifier and rates, and the stored table (key, tokens, posteriors) of
+    ``df`` they were fitted on. Classifier and rates also apply to any text as expressions."""
     model = fit_domains(df, labels, domains, key, text)
-    members = stored(df.select(F.size(words_of(F.col(f"`{text}`"))).alias("tokens"),
+    members = stored(df.select(F.col(f"`{key}`").alias(key),
+                               F.size(words_of(F.col(f"`{text}`"))).cast("long").alias("tokens"),
                                model.posteriors(F.col(f"`{text}`")).alias("posteriors")), "members")
-    return model, fit_rates(members, targets, domains)
+    return model, fit_rates(members, targets, domains), members
 
 
 def copies_of(rate: Column, key: Column, seed: int = 42) -> Column:
@@ -206,7 +208,7 @@ def mix(df: DataFrame, labels: DataFrame, targets: Mapping[str, float], domains:
     Null and empty texts have no tokens and the prior's posteriors, so they count for
     nothing and follow their domains' rates; a null key draws like any other value.
     """
-    model, rates = mixing_rates(df, labels, targets, domains, key, text)
+    model, rates, _ = mixing_rates(df, labels, targets, domains, key, text)
     rated = df.select(F.struct("*").alias("_row"), model.posteriors(F.col(f"`{text}`")).alias("_p"),
                       F.col(f"`{key}`").alias("_k"))
     taken = rated.select("_row", copies_of(rates.of(F.col("_p")), F.col("_k")).alias("_n"))

@@ -47,12 +47,10 @@ def domain_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op1_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model, rates = mixing_rates(docs, domain_labels(spark, sf_dir), TARGETS, DOMAINS)
-    rated = docs.select("doc_id", F.size(words_of(F.col("text"))).cast("long").alias("tokens"),
-                        model.posteriors(F.col("text")).alias("_p"))
-    rate = rates.of(F.col("_p"))
-    return rated.select("doc_id", "tokens", *(F.get("_p", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(DOMAINS)),
-                        rate.alias("rate"), copies_of(rate, F.col("doc_id")).alias("copies"))
+    _, rates, members = mixing_rates(docs, domain_labels(spark, sf_dir), TARGETS, DOMAINS)
+    rate = rates.of(F.col("posteriors"))
+    return members.select("doc_id", "tokens", *(F.get("posteriors", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(DOMAINS)),
+                          rate.alias("rate"), copies_of(rate, F.col("doc_id")).alias("copies"))
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
