@@ -13,6 +13,7 @@ from riskframe.llm.pii import find_personal
 from riskframe.llm.quality import judge_quality
 from riskframe.llm.secrets import scan_secrets
 from riskframe.llm.sharding import rendezvous, shard_records
+from riskframe.llm.substrings import repeated_spans
 from riskframe.llm.topk import top_inner_products
 from riskframe.llm.urls import canonical, host_of, judge_urls, path_of
 from riskframe.llm.oracles import URL_LISTED_HOSTS, oracles
@@ -63,6 +64,13 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "canonical", "listed")
 
 
+def op3_bwt_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_spans(table(spark, sf_dir, "documents"), length=100)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        "kept_sha256")
+
+
 def op4_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     placed = shard_records(docs, "doc_id", SHARDS)
@@ -104,6 +112,6 @@ def op10_configuration_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_soft_mixing, op2_url_filter, op4_rendezvous_shards, op5_secret_scan,
+QUERIES = {f.__name__: f for f in (op1_soft_mixing, op2_url_filter, op3_bwt_substrings, op4_rendezvous_shards, op5_secret_scan,
                                   op6_weak_supervision_pii, op7_quality_rules, op8_hyperminhash_neardup, op9_dual_tree_topk, op10_configuration_packing)}
 ORACLES = {k: v for k, v in oracles().items() if k in QUERIES}
