@@ -167,16 +167,24 @@ def scan_secrets(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     return own.mapInArrow(scan, f"`{key}` {kind}, spans array<struct<kind:string,start:bigint,end:bigint>>")
 
 
-def mask_secrets(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def mask_secrets(df: DataFrame, text: str = "text", length: str | None = None) -> DataFrame:
     """``df`` with every secret in ``text`` replaced by ``[SECRET]``; all else as it was.
 
-    Overlapping spans are replaced as one. Null texts stay null.
+    Overlapping spans are replaced as one. Null texts stay null. ``length`` names a
+    column that is to hold the new text's code points where the text changed.
     """
     def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.schema.get_field_index(text)
-            cleaned = pa.array([masked(t.as_py()) for t in batch.column(at)], batch.schema.field(at).type)
-            yield batch.set_column(at, batch.schema.field(at), cleaned)
+            columns = {text: [masked(t) for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]}
+            if length:
+                olds = batch.column(batch.schema.get_field_index(text)).to_pylist()
+                counts = batch.column(batch.schema.get_field_index(length)).to_pylist()
+                columns[length] = [n if new == old else len(new)
+                                   for n, old, new in zip(counts, olds, columns[text])]
+            for name, values in columns.items():
+                at = batch.schema.get_field_index(name)
+                batch = batch.set_column(at, batch.schema.field(at), pa.array(values, batch.schema.field(at).type))
+            yield batch
 
     return df.mapInArrow(mask, df.schema)
 
