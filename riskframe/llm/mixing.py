@@ -25,7 +25,7 @@ LABELLED = 50_000
 #: Documents' worth of belief that a feature is equally common in every domain.
 SHRINK = 10.0
 #: Evidence of a feature counts from this many standard deviations and documents on.
-CLEAR, SEEN = 4.0, 10
+CLEAR, SEEN = 4.0, 5
 #: A feature must be this much commoner in some domain than overall. Common words, which
 #: hang together and would be counted as evidence many times over, stay out.
 LIFT = 2.5
