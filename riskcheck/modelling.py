@@ -1,10 +1,14 @@
-"""Queries: models, scoring, saved models. Model output has no SQL twin."""
+"""Queries: models, scoring, saved models.
+
+Fitted numbers have no SQL twin; the queries ending in ``_sound`` check what surrounds
+them: which rows are scored, and that band, prediction and probability agree.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskcheck.registry import query, table
+from riskcheck.registry import query, sql_uniform, table
 from riskframe.operators.sampling import stratified_split
 from riskframe.plans import (Preparation, build_stages, feature_importance, fit_model, score,
                              train_and_evaluate)
@@ -25,76 +29,120 @@ def model_events(spark, sf):
 
 
 def sides(spark, sf):
-    """Prepared train and test side, then the numeric and categorical features."""
+    """Preparation fitted on the train side, both sides prepared, numeric and categorical features."""
     train, test = stratified_split(model_events(spark, sf), "y", "event_id")
     prepared = Preparation(MODEL_SPEC).fit(train)
     train, test = prepared.transform(train), prepared.transform(test)
-    return train, test, *prepared.feature_columns(train)
+    return prepared, train, test, *prepared.feature_columns(train)
+
+
+def fitted(spark, sf, algo, params=None):
+    """The preparation, a model on its train side, and both sides."""
+    prepared, train, test, numeric, cats = sides(spark, sf)
+    return prepared, fit_model(train, numeric, cats, "y", algo, params, key="event_id"), train, test
 
 
 def predictions(spark, sf, algo, params=None):
-    train, test, numeric, cats = sides(spark, sf)
-    return score(fit_model(train, numeric, cats, "y", algo, params), test, "event_id")
+    _, model, _, test = fitted(spark, sf, algo, params)
+    return score(model, test, "event_id")
+
+
+def sound(scored):
+    """event_id and whether a row's band, prediction and probability agree, or are all null."""
+    p, y, band = F.col("risk_probability"), F.col("prediction"), F.col("risk_band")
+    agree = (p.between(0, 1) & y.isin(0.0, 1.0) & (F.abs(y - p) <= 0.5 + 1e-9)
+             & (band == F.when(y == 1, "HIGH RISK").otherwise("LOW RISK")))
+    return scored.select("event_id", F.coalesce(agree, p.isNull() & y.isNull() & band.isNull()).alias("sound"))
+
+
+TEST_ROWS = f"SELECT event_id, TRUE AS sound FROM events WHERE {sql_uniform(42, 'event_id')} < 0.2"
 
 
 @query("m1_build_stages")
 def _(spark, sf):
-    train, test, numeric, cats = sides(spark, sf)
-    fitted = build_stages(numeric, cats, "y", "unknown name").fit(train)
-    return fitted.transform(test).select("event_id", "y", "prediction")
+    _, train, test, numeric, cats = sides(spark, sf)
+    model = build_stages(numeric, cats, "y", "unknown name").fit(train)
+    return model.transform(test).select("event_id", "y", "prediction")
 
 
-@query("m2_random_forest")
+@query("m1_build_stages_sound", TEST_ROWS)
 def _(spark, sf):
-    return predictions(spark, sf, "rf")
+    _, train, test, numeric, cats = sides(spark, sf)
+    return sound(score(build_stages(numeric, cats, "y", "unknown name").fit(train), test, "event_id"))
 
 
-@query("m3_gbt")
-def _(spark, sf):
-    return predictions(spark, sf, "gbt")
+MODELS = {"m2_random_forest": ("rf", None), "m3_gbt": ("gbt", None), "m4_logreg": ("lr", None),
+          "m5_gbt_regularised": ("gbt", SLOW_BOOSTING)}
 
 
-@query("m4_logreg")
-def _(spark, sf):
-    return predictions(spark, sf, "lr")
+def _register(name, algo, params):
+    query(name)(lambda spark, sf: predictions(spark, sf, algo, params))
+    query(f"{name}_sound", TEST_ROWS)(lambda spark, sf: sound(predictions(spark, sf, algo, params)))
 
 
-@query("m5_gbt_regularised")
-def _(spark, sf):
-    # a fifth of the default 300 rounds keeps the routine check short
-    return predictions(spark, sf, "gbt", {**SLOW_BOOSTING, "maxIter": 60})
+for _name, (_algo, _params) in MODELS.items():
+    _register(_name, _algo, _params)
+
+
+def batch(spark, sf):
+    """All events scored by a model with the preparation it was trained with."""
+    prepared, model, _, _ = fitted(spark, sf, "lr")
+    return score(model, prepared.transform(model_events(spark, sf).drop("y")), "event_id")
 
 
 @query("m6_score_batch")
 def _(spark, sf):
-    train, _, numeric, cats = sides(spark, sf)
-    prepared = Preparation(MODEL_SPEC).fit(model_events(spark, sf))
-    unlabelled = prepared.transform(model_events(spark, sf).drop("y"))
-    return score(fit_model(train, numeric, cats, "y", "lr"), unlabelled, "event_id")
+    return batch(spark, sf)
+
+
+@query("m6_score_batch_sound", "SELECT event_id, TRUE AS sound FROM events")
+def _(spark, sf):
+    return sound(batch(spark, sf))
 
 
 @query("m7_feature_importance")
 def _(spark, sf):
-    train, _, numeric, cats = sides(spark, sf)
-    model = fit_model(train, numeric, cats, "y", "rf", {"numTrees": 40, "maxDepth": 6})
+    _, model, train, _ = fitted(spark, sf, "rf")
     return feature_importance(model, train)
 
 
+@query("m7_importance_slots", """WITH slots AS (
+  SELECT unnest(['value', 'k', 'value_x_k', 'value_log', 'weekday_ohe___unknown']) AS feature
+  UNION SELECT 'weekday_ohe_' || lower(dayname(ts)) FROM events)
+SELECT feature, CAST(1.0 AS DOUBLE) AS total FROM slots""")
+def _(spark, sf):
+    _, model, train, _ = fitted(spark, sf, "rf")
+    found = feature_importance(model, train)
+    total = found.agg(F.round(F.sum("importance"), 6).alias("total"))
+    return found.select("feature").join(F.broadcast(total))      # one row
+
+
 @query("a6_save_model")
 def _(spark, sf):
-    train, test, numeric, cats = sides(spark, sf)
-    model = fit_model(train, numeric, cats, "y", "lr")
+    _, model, _, test = fitted(spark, sf, "lr")
     save_model(model, scratch_path(spark, "model"))
     return score(model, test, "event_id")
 
 
 @query("a7_load_model")
 def _(spark, sf):
-    train, test, numeric, cats = sides(spark, sf)
-    path = save_model(fit_model(train, numeric, cats, "y", "lr"), scratch_path(spark, "model"))
+    _, model, _, test = fitted(spark, sf, "lr")
+    path = save_model(model, scratch_path(spark, "model"))
     return score(load_model(path), test, "event_id")
 
 
+@query("a7_reload_scores_alike", TEST_ROWS.replace("TRUE AS sound", "TRUE AS alike"))
+def _(spark, sf):
+    """A model that was saved and loaded scores every test row as before."""
+    _, model, _, test = fitted(spark, sf, "lr")
+    path = save_model(model, scratch_path(spark, "model"))
+    again = score(load_model(path), test, "event_id").select(
+        "event_id", F.col("risk_probability").alias("again"), F.col("risk_band").alias("band"))
+    return score(model, test, "event_id").join(again, "event_id").select(
+        "event_id", (F.col("risk_probability").eqNullSafe(F.col("again"))
+                     & F.col("risk_band").eqNullSafe(F.col("band"))).alias("alike"))
+
+
 @query("train_and_evaluate")
 def _(spark, sf):
     _, _, metrics = train_and_evaluate(model_events(spark, sf), MODEL_SPEC, "lr")

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from riskcheck.registry import (EVENTS_RAW, LABELLED_DOCS, MESSY_EVENTS, RISK_EVENTS,
                                 RISK_LINEITEM, events_raw, labelled_docs, messy_events, query,
-                                risk_events, risk_lineitem, rounded, table)
+                                risk_events, risk_lineitem, rounded, sql_vectors, table,
+                                vectors)
 from riskframe.operators import clean, features, impute
 from riskframe.plans import Preparation
-from riskframe.sources import conform, read_table, scratch_path, trim_headers, write_table
+from riskframe.sources import conform, frame_from_records, read_table, scratch_path, trim_headers, write_table
 from riskframe.spec import DatasetSpec
 
 # ---- sources --------------------------------------------------------------------------------
@@ -37,7 +38,16 @@ def _(spark, sf):
     return read_table(spark, path, fmt="parquet")
 
 
-@query("a8_frame_from_records", f"""WITH {EVENTS_RAW}
+@query("a8_frame_from_records", """SELECT n_nationkey, n_name, CAST(n_regionkey AS DOUBLE) AS n_regionkey,
+  CAST(NULL AS VARCHAR) AS absent FROM nation""")
+def _(spark, sf):
+    records = [r.asDict() for r in table(spark, sf, "nation").selectExpr(
+        "n_nationkey", "n_name", "double(n_regionkey) n_regionkey", "1 as surplus").collect()]
+    return frame_from_records(spark, records,
+                              "n_nationkey int, n_name string, n_regionkey double, absent string")
+
+
+@query("a8_conform", f"""WITH {EVENTS_RAW}
 SELECT event_id, value, CAST(k AS DOUBLE) AS k, CAST(NULL AS DOUBLE) AS weight FROM raw""")
 def _(spark, sf):
     return conform(events_raw(spark, sf), "event_id long, value double, k double, weight double")
@@ -186,6 +196,36 @@ def _(spark, sf):
     return rounded(impute.KnnImputer(("value", "k"), "event_id").fit(df).transform(df))
 
 
+def _gap(i, name="vec_id"):
+    """Which cells of coordinate i are taken away: every fifth row, another for each."""
+    return f"({name} * 7 + {3 * i}) % 5 = 0"
+
+
+KNN_DIST = " + ".join(f"coalesce((q.e{i} - d.e{i}) * (q.e{i} - d.e{i}), 0)" for i in range(4))
+KNN_SHARED = " + ".join(f"CAST(q.e{i} IS NOT NULL AND d.e{i} IS NOT NULL AS INTEGER)" for i in range(4))
+
+
+def _knn_fill(i):
+    return f"""fill{i} AS (SELECT vec_id, avg(e) AS f FROM (
+  SELECT q.vec_id, d.e{i} AS e, row_number() OVER (PARTITION BY q.vec_id
+    ORDER BY ({KNN_DIST}) * (4.0 / ({KNN_SHARED})), d.vec_id) AS rn
+  FROM gappy q JOIN gappy d ON q.e{i} IS NULL AND d.e{i} IS NOT NULL AND {KNN_SHARED} > 0)
+  WHERE rn <= 5 GROUP BY vec_id)"""
+
+
+@query("c5_knn_impute_vectors", f"""WITH {sql_vectors(4)},
+gappy AS (SELECT vec_id, {", ".join(f"CASE WHEN NOT {_gap(i)} THEN e{i} END AS e{i}" for i in range(4))} FROM vecs),
+{", ".join(_knn_fill(i) for i in range(4))}
+SELECT vec_id, {", ".join(f"round(coalesce(e{i}, fill{i}.f), 6) + 0.0 AS e{i}" for i in range(4))}
+FROM gappy {" ".join(f"LEFT JOIN fill{i} USING (vec_id)" for i in range(4))}""")
+def _(spark, sf):
+    """Four coordinates with gaps in each: many patterns, several targets, scaled distances."""
+    df = vectors(spark, sf).select("vec_id", *(F.expr(f"case when not {_gap(i)} then e{i} end").alias(f"e{i}")
+                                               for i in range(4)))
+    filled = impute.KnnImputer(tuple(f"e{i}" for i in range(4)), "vec_id").fit(df).transform(df)
+    return rounded(filled)
+
+
 EVENT_FIELDS = {"value": impute.FieldRange(48.5, 0.0, 200.0), "k": impute.FieldRange(50, 1, 90),
                 "cat": impute.FieldRange("View", options=("View", "Click", "Purchase"))}
 

@@ -93,9 +93,9 @@ def vectors(spark, sf_dir, dims: int = 4) -> DataFrame:
         *(F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(dims)))
 
 
-VECTORS = """vecs AS (SELECT vec_id, CAST(label = 0 AS INTEGER) AS y,
-  CAST(embedding[1] AS DOUBLE) AS e0, CAST(embedding[2] AS DOUBLE) AS e1,
-  CAST(embedding[3] AS DOUBLE) AS e2, CAST(embedding[4] AS DOUBLE) AS e3 FROM embeddings)"""
+def sql_vectors(dims: int) -> str:
+    xs = ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i}" for i in range(dims))
+    return f"vecs AS (SELECT vec_id, CAST(label = 0 AS INTEGER) AS y, {xs} FROM embeddings)"
 
 
 def judged_events(spark, sf_dir) -> DataFrame:

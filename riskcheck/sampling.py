@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskcheck.registry import (RISK_EVENTS, VECTORS, query, risk_events, rounded, sql_normal,
-                                sql_uniform, vectors)
+from pyspark.sql import Window
+
+from riskcheck.registry import (RISK_EVENTS, query, risk_events, rounded, sql_normal, sql_uniform,
+                                sql_vectors, vectors)
 from riskframe.functions import uniform
 from riskframe.operators import augment, sampling
+from riskframe.operators.impute import MedianImputer
 from riskframe.plans import augment_table
 
 DRAW = sql_uniform(42, "event_id")
@@ -40,6 +43,13 @@ def _(spark, sf):
         test.withColumn("side", F.lit("test")))
 
 
+@query("s3_random_split_sides", """SELECT event_id, CAST(1 AS BIGINT) AS n_sides FROM events""")
+def _(spark, sf):
+    """Every event is on one side and on one only."""
+    train, test = sampling.random_split(risk_events(spark, sf).select("event_id"), 0.2)
+    return train.unionByName(test).groupBy("event_id").agg(F.count("*").alias("n_sides"))
+
+
 @query("s4_coverage_guard", f"""WITH {RISK_EVENTS}
 SELECT y, count(*) FILTER ({DRAW} >= 0.2) AS n_train, count(*) FILTER ({DRAW} < 0.2) AS n_test
 FROM risk GROUP BY y""")
@@ -48,13 +58,15 @@ def _(spark, sf):
     return sampling.coverage(train, test, "y")
 
 
-# events whose k is known, so that both coordinates exist
+# every event, a missing k filled with the median first
 COMPLETE = RISK_EVENTS + """,
-base AS (SELECT event_id, y, value AS f0, CAST(k AS DOUBLE) AS f1 FROM risk WHERE k IS NOT NULL)"""
+base AS (SELECT event_id, y, value AS f0, coalesce(CAST(k AS DOUBLE),
+  (SELECT quantile_cont(k, 0.5) FROM risk)) AS f1 FROM risk)"""
 
 
 def complete_events(spark, sf):
-    df = risk_events(spark, sf).filter("k is not null")
+    df = risk_events(spark, sf)
+    df = MedianImputer(("k",), exact=True).fit(df).transform(df)
     return df.select("event_id", "y", F.col("value").alias("f0"), F.col("k").cast("double").alias("f1"))
 
 
@@ -79,25 +91,25 @@ def _(spark, sf):
     return rounded(augment.smote_bucketed(complete_events(spark, sf), "event_id", ["f0", "f1"], "y"))
 
 
-VECTOR_DIST = " + ".join(f"(a.e{i} - b.e{i}) * (a.e{i} - b.e{i})" for i in range(4))
+VECTOR_DIST = " + ".join(f"(a.e{i} - b.e{i}) * (a.e{i} - b.e{i})" for i in range(64))
 
 
-@query("s5_smote_per_bucket", f"""WITH {VECTORS},
+@query("s5_smote_per_bucket", f"""WITH {sql_vectors(64)},
 dealt AS (SELECT *, floor({sql_uniform(42, "'bucket'", 'vec_id')}
     * ceil((SELECT count(*) FROM vecs) / 100.0)) AS bucket FROM vecs),
 rarer AS (SELECT bucket, CASE WHEN count(*) FILTER (y = 1) < count(*) FILTER (y = 0) THEN 1 ELSE 0 END
     AS y FROM dealt GROUP BY bucket),
 minority AS (SELECT * FROM dealt JOIN rarer USING (bucket, y)),
-pairs AS (SELECT a.vec_id, a.y, {", ".join(f"a.e{i}, b.e{i} AS n{i}" for i in range(4))},
+pairs AS (SELECT a.vec_id, a.y, {", ".join(f"a.e{i}, b.e{i} AS n{i}" for i in range(64))},
     row_number() OVER (PARTITION BY a.vec_id ORDER BY {VECTOR_DIST}, b.vec_id) AS slot,
     1 + count(*) OVER (PARTITION BY a.vec_id) AS n
   FROM minority a JOIN minority b ON a.bucket = b.bucket AND a.vec_id <> b.vec_id)
 SELECT vec_id || '#' || slot AS key, y, {", ".join(
     f"round(e{i} + {sql_uniform(42, chr(39) + 'mix' + chr(39), 'vec_id', 'slot')} * (n{i} - e{i}), 6)"
-    f" + 0.0 AS e{i}" for i in range(4))}
+    f" + 0.0 AS e{i}" for i in range(64))}
 FROM pairs WHERE slot <= least(5, n - 1)""")
 def _(spark, sf):
-    return rounded(augment.smote_bucketed(vectors(spark, sf), "vec_id", [f"e{i}" for i in range(4)],
+    return rounded(augment.smote_bucketed(vectors(spark, sf, 64), "vec_id", [f"e{i}" for i in range(64)],
                                           "y", bucket_size=100, scope="bucket", include_self=False))
 
 
@@ -146,6 +158,18 @@ def _(spark, sf):
     return shuffled.withColumn("place", F.round(uniform(42, F.lit("order"), F.col("event_id")), 9))
 
 
+@query("s9_shuffled_order", "SELECT event_id, TRUE AS in_order FROM events")
+def _(spark, sf):
+    """Each row stands in the partition of its draw, and behind a smaller draw."""
+    df = risk_events(spark, sf).select("event_id")
+    shuffled = sampling.shuffle_rows(df, "event_id", partitions=16).select(
+        "event_id", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("pos"),
+        uniform(42, F.lit("order"), F.col("event_id")).alias("draw"))
+    before = F.lag("draw", 1, -1.0).over(Window.partitionBy("part").orderBy("pos"))
+    return shuffled.select("event_id", ((F.col("draw") > before) & (
+        F.floor(F.col("draw") * 16) == F.col("part"))).alias("in_order"))
+
+
 @query("s10_append_rows", f"""WITH {RISK_EVENTS}
 SELECT event_id, y, value FROM risk UNION ALL SELECT event_id, NULL, value * 2 FROM risk WHERE y = 1""")
 def _(spark, sf):

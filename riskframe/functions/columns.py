@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,9 +32,6 @@ def known(df: DataFrame, name: str) -> Column:
 
 
 def value_map(key: Column, values: Mapping, default: Column) -> Column:
-    """``values[key]`` as a CASE over literals, ``default`` for other keys."""
-    result = None
-    for k, v in values.items():
-        result = F.when(key == F.lit(k), F.lit(v)) if result is None \
-            else result.when(key == F.lit(k), F.lit(v))
-    return default if result is None else result.otherwise(default)
+    """``values[key]``, ``default`` for other keys."""
+    return reduce(lambda rest, k: F.when(key == F.lit(k), F.lit(values[k])).otherwise(rest),
+                  values, default)

@@ -143,10 +143,16 @@ def smote_balance(df: DataFrame, key: str, cols: Sequence[str], label: str, k: i
         "rank", *(F.col(f"dx{i}") for i in dims)))).alias("near"))     # k entries each
     rows = base.select(F.col(key).alias("base_key"), *(F.col(c).cast("double").alias(f"b{i}")
                        for i, c in enumerate(cols)),
-                       (F.lit(each) + one_more.cast("int")).alias("m"))
+                       (F.lit(each) + one_more.cast("int")).cast("bigint").alias("m"))
     rows = rows.filter(F.col("m") > 0).join(
         around.withColumnRenamed("query_key", "base_key"), "base_key")
-    slots = rows.withColumn("slot", F.explode(F.sequence(F.lit(1), F.col("m"))))
+    # two steps with a shuffle between, so that a row with very many slots is spread over
+    # tasks and no array is longer than the root of their number
+    step = math.isqrt(each) + 1
+    runs = rows.withColumn("from", F.explode(F.sequence(F.lit(1), F.col("m"), F.lit(step)))) \
+        .repartition("base_key", "from")
+    slots = runs.withColumn("slot", F.explode(F.sequence(
+        F.col("from"), F.least(F.col("m"), F.col("from") + step - 1)))).drop("from")
     pick = F.floor(uniform(seed, F.lit("pick"), F.col("base_key"), F.col("slot"))
                    * F.size("near")).cast("int")
     chosen = slots.withColumn("to", F.get("near", pick))

@@ -91,7 +91,8 @@ def build_index(df: DataFrame, key: str, cols: Sequence[str], k: int,
     if len(common) > MAX_CELLS // 4:
         total, common = masked.count(), common[:-1]
     masks = [r["mask"] for r in common]
-    wanted = min(MAX_CELLS // max(1, len(masks)), max(1, total // cell_rows))
+    # every leaf has a cell for each pattern, and one for the rare patterns together
+    wanted = min(MAX_CELLS // (len(masks) + 1), max(1, total // cell_rows))
     depth = max(0, math.floor(math.log2(max(1, wanted))))
     sample = np.empty((0, dims))
     if depth:
@@ -106,6 +107,7 @@ def build_index(df: DataFrame, key: str, cols: Sequence[str], k: int,
     placed = masked.withColumn("pattern", pattern).withColumn("leaf", leaf)
     cells = placed.groupBy("pattern", "leaf").agg(
         F.count("*").alias("n"), *(F.min(x).alias(f"lo_{x}") for x in xs),
+        *((F.count(x) == F.count("*")).alias(f"all_{x}") for x in xs),
         *(F.max(x).alias(f"hi_{x}") for x in xs)).collect()
     cells = sorted(cells, key=lambda r: (r["pattern"], r["leaf"]))
     boxes = {
@@ -114,6 +116,7 @@ def build_index(df: DataFrame, key: str, cols: Sequence[str], k: int,
         "n": np.array([r["n"] for r in cells], dtype="int64"),
         "lo": np.array([[_nan(r[f"lo_{x}"]) for x in xs] for r in cells]).reshape(-1, dims),
         "hi": np.array([[_nan(r[f"hi_{x}"]) for x in xs] for r in cells]).reshape(-1, dims),
+        "all": np.array([[r[f"all_{x}"] for x in xs] for r in cells], dtype=bool).reshape(-1, dims),
     }
     donors = placed.select("donor_key", *xs, F.concat_ws(":", "pattern", "leaf").alias("cell"))
     return DonorIndex(donors, dims, k, splits, boxes, centre)
@@ -171,23 +174,29 @@ def _leaf_of(splits, centre):
 
 def _box_distance(queries: np.ndarray, targets: np.ndarray, boxes: dict):
     """Smallest possible distance of each query to each cell; inf if the cell
-    cannot serve the query. A cell of mixed patterns is always at distance 0."""
+    cannot serve the query.
+
+    In a cell of mixed patterns only the coordinates all its rows have count; its
+    rows share at most as many coordinates with the query as the query has, which
+    bounds the factor from below.
+    """
     dims = queries.shape[1]
     acc = np.zeros((len(queries), len(boxes["n"])))
     shared = np.zeros_like(acc)
+    mixed = boxes["pattern"] < 0
     for i in range(dims):
         q = queries[:, i][:, None]
         gap = np.maximum(np.maximum(boxes["lo"][:, i] - q, q - boxes["hi"][:, i]), 0.0)
-        both = ~np.isnan(gap)
+        both = ~np.isnan(gap) & (boxes["all"][:, i] | ~mixed)[None, :]
         acc += np.where(both, gap * gap, 0.0)
         shared += both
     with np.errstate(divide="ignore", invalid="ignore"):
         near = np.where(shared > 0, acc * (dims / shared), np.inf)
     bit = np.where(targets < 0, 0, np.left_shift(np.int64(1), np.maximum(targets, 0)))
     lacks = (bit[:, None] & ~boxes["pattern"][None, :]) != 0
-    mixed = boxes["pattern"] < 0
     near[lacks & ~mixed[None, :]] = np.inf
-    near[:, mixed] = 0.0
+    own = np.maximum(1, (~np.isnan(queries)).sum(axis=1))
+    near[:, mixed] = acc[:, mixed] * (dims / own)[:, None]
     return near, mixed
 
 
@@ -288,8 +297,8 @@ def _round(index: DonorIndex, queries: DataFrame, first: bool) -> DataFrame:
     query_type = queries.schema["query_key"].dataType
     donor_type = index.donors.schema["donor_key"].dataType
     plan, schema = _visits(index, first, query_type.simpleString())
-    visits = queries.mapInPandas(plan, schema)
-    asked = visits.groupBy("cell").count().limit(MAX_CELLS + 1).collect()
+    visits = stored(queries.mapInPandas(plan, schema), "visits")
+    asked = visits.groupBy("cell").count().collect()    # cells of the index, so bounded
     held = {f"{p}:{leaf}": int(n) for p, leaf, n in
             zip(index.boxes["pattern"], index.boxes["leaf"], index.boxes["n"])}
 

@@ -36,6 +36,8 @@ def test_side(df: DataFrame, label: str, key: str, test_frac: float = 0.2, seed:
     draw = uniform(seed, F.col(key))
     if not exact:
         return draw < test_frac
+    if df.filter(F.col(key).isNull()).limit(1).count():
+        raise ValueError(f"an exact split needs a key in every row; {key} has nulls")
     counts = class_counts(df, label)
     wanted = {k: int(test_frac * n + 0.5) for k, n in counts.items()}
     return smallest_draws(df, label, key, draw, wanted, counts)
@@ -76,7 +78,8 @@ def _cut_draws(drawn: DataFrame, wanted: Mapping, counts: Mapping) -> dict:
         return F.col("y").eqNullSafe(F.lit(k)) & F.col("u").between(lo, hi)
 
     while wide := [k for k, (lo, hi, _, n) in slices.items() if n > FETCH_ROWS and lo < hi]:
-        bins = {k: min(65_536, 16 + slices[k][3] // 1_000) for k in wide}
+        most = max(16, 65_536 // len(wide))     # over all classes together
+        bins = {k: min(most, 16 + slices[k][3] // 1_000) for k in wide}
         place = F.lit(None).cast("struct<c:int,b:int>")
         for i, k in enumerate(wide):
             lo, hi, _, _ = slices[k]
@@ -142,8 +145,11 @@ def shuffle_rows(df: DataFrame, key: str, seed: int = 42,
 
     The draws are spread evenly, so each row's partition follows from its draw.
     That saves the extra run of the input by which a range sort finds its ranges.
+    There are as many partitions as the input has, or the session's number if that
+    is more; the order does not depend on it.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or max(df.rdd.getNumPartitions(),
+                          int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     drawn = df.withColumn("_draw", uniform(seed, F.lit("order"), F.col(key)))
     placed = drawn.repartitionById(n, F.floor(F.col("_draw") * n).cast("int"))
     return placed.sortWithinPartitions("_draw", key).drop("_draw")

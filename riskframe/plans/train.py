@@ -8,14 +8,16 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, RandomForestClassifier)
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.columns import known
+from riskframe.operators.clean import MAX_CLASSES
 from riskframe.operators.evaluate import auc, evaluate
 from riskframe.operators.features import assembler, check_cardinality, encoder, indexer
 from riskframe.operators.sampling import check_coverage, stratified_split
 from riskframe.plans.prepare import Preparation
+from riskframe.sources.tables import stored
 from riskframe.spec import DatasetSpec
 
 # Parameters used where the caller gives none.
@@ -29,7 +31,7 @@ DEFAULTS = {
 
 # The slow, heavily sampled boosting variant (``algo="gbt"``).
 # Its leaf penalties (L1 0.5, L2 1) and split penalty 1 have no counterpart in
-# Spark ML's trees and are not imitated.
+# Spark ML's trees and are not imitated; ``minInfoGain`` can be given as a parameter.
 SLOW_BOOSTING = {"maxIter": 300, "maxDepth": 4, "stepSize": 0.05, "subsamplingRate": 0.8,
                  "featureSubsetStrategy": "0.8", "minInstancesPerNode": 1, "seed": 42}
 
@@ -38,16 +40,15 @@ _CLASSIFIERS = {"rf": RandomForestClassifier, "gbt": GBTClassifier, "lr": Logist
 
 def build_stages(numeric: Sequence[str], categorical: Sequence[str], label: str, algo: str = "lr",
                  params: Mapping | None = None, weight: str | None = "_class_weight",
-                 scale_encoded: bool = True) -> Pipeline:
-    """Index and encode each categorical, assemble, scale, classify.
+                 scale_encoded: bool = False) -> Pipeline:
+    """Index and encode the categoricals, assemble, scale the numeric columns, classify.
 
-    ``algo`` is rf, gbt or lr; any other name means lr. Centring turns one-hot
-    slots into dense vectors; ``scale_encoded=False`` scales the numeric columns
-    only and keeps the encoded ones sparse.
+    ``algo`` is rf, gbt or lr; any other name means lr. ``scale_encoded=True``
+    scales the encoded slots too; centring turns them into dense vectors.
     """
     algo = algo if algo in _CLASSIFIERS else "lr"
     encoded = [f"{c}_ohe" for c in categorical]
-    stages = [s for c in categorical for s in (indexer(c), encoder(c))]
+    stages = [indexer(*categorical), encoder(*categorical)] if categorical else []
     if scale_encoded or not encoded:
         stages += [assembler([*numeric, *encoded]),
                    StandardScaler(inputCol="raw_features", outputCol="features", withMean=True,
@@ -64,48 +65,50 @@ def build_stages(numeric: Sequence[str], categorical: Sequence[str], label: str,
     return Pipeline(stages=[*stages, classifier])
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a table of few, small files one partition per core.
-
-    Training passes over the rows many times, each pass as parallel as the rows
-    are partitioned. A table with enough partitions is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def fit_model(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str,
               algo: str = "lr", params: Mapping | None = None,
-              weight: str | None = "_class_weight", scale_encoded: bool = True) -> PipelineModel:
-    """Fit the stages; refuses categoricals with too many values to encode."""
-    check_cardinality(train, categorical)
+              weight: str | None = "_class_weight", scale_encoded: bool = False,
+              key: str | None = None, partitions: int = 32,
+              most: int = MAX_CLASSES) -> PipelineModel:
+    """Fit the stages; refuses categoricals with more than ``most`` values.
+
+    Training passes over the rows many times, so they are stored once, only the
+    columns in use. With ``key`` they are dealt to ``partitions`` by its hash and
+    sorted: row samples depend on both, so a seed then gives the same model on any
+    number of cores. Take more partitions for tables beyond some 10 GB.
+    """
+    check_cardinality(train, categorical, most)
     used = [*numeric, *categorical, label, *([weight] if weight else [])]
-    train = spread(train.select(*used))
+    if key:
+        rows = stored(train.select(key, *(c for c in used if c != key)), "training")
+        rows = rows.repartition(partitions, key).sortWithinPartitions(key)
+    else:
+        rows = stored(train.select(*used), "training")
     return build_stages(numeric, categorical, label, algo, params, weight,
-                        scale_encoded).fit(train)
+                        scale_encoded).fit(rows)
 
 
 def score(model: PipelineModel, df: DataFrame, key: str) -> DataFrame:
     """key, prediction, risk_probability (of class 1), risk_band for every row.
 
     Rows the model cannot score, because a numeric feature is missing, stay in
-    the result with nulls.
+    the result with nulls. One pass: they go through with a placeholder.
     """
     inputs = next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
+    inputs = [c for c in inputs if c in df.columns]
     complete = F.lit(True)
     for c in inputs:
-        if c in df.columns:
-            complete = complete & known(df, c).isNotNull()
-    scored = model.transform(df.filter(complete))
+        complete = complete & known(df, c).isNotNull()
+    filled = df.withColumn("_complete", complete).withColumns(
+        {c: F.coalesce(known(df, c), F.lit(0).cast(df.schema[c].dataType)) for c in inputs})
+    scored = model.transform(filled)
+
+    def told(value: Column) -> Column:
+        return F.when(F.col("_complete"), value)
     band = F.when(F.col("prediction") == 1, "HIGH RISK").otherwise("LOW RISK")
-    scored = scored.select(key, "prediction",
-                           vector_to_array("probability")[1].alias("risk_probability"),
-                           band.alias("risk_band"))
-    unscored = df.filter(~complete).select(
-        key, F.lit(None).cast("double").alias("prediction"),
-        F.lit(None).cast("double").alias("risk_probability"),
-        F.lit(None).cast("string").alias("risk_band"))
-    return scored.unionByName(unscored)
+    return scored.select(key, told(F.col("prediction")).alias("prediction"),
+                         told(vector_to_array("probability")[1]).alias("risk_probability"),
+                         told(band).alias("risk_band"))
 
 
 def feature_importance(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -142,8 +145,9 @@ def train_and_evaluate(df: DataFrame, spec: DatasetSpec, algo: str = "gbt",
     check_coverage(train, test, spec.label)
     numeric, cats = prepared.feature_columns(train)
     model = fit_model(train, numeric, cats, spec.label, algo,
-                      params if params is not None else spec.params.get(algo))
-    predicted = model.transform(test).select(spec.label, "prediction", "rawPrediction")
+                      params if params is not None else spec.params.get(algo), key=spec.key)
+    predicted = stored(model.transform(test).select(spec.label, "prediction", "rawPrediction"),
+                       "predicted")
     metrics = evaluate(predicted, spec.label).first().asDict()
     metrics["auc_roc"] = auc(predicted, spec.label)
     metrics["auc_pr"] = auc(predicted, spec.label, curve="pr")

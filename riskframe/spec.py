@@ -41,7 +41,8 @@ class DatasetSpec:
             raise ValueError(f"columns named by the dataset spec are absent: {absent}")
 
 
-# Column roles and tuned parameters of the two known datasets.
+# Column roles of the two known datasets, and tuned parameters where they
+# differ from the defaults of plans.train.
 HEART = DatasetSpec(
     label="num",
     label_names=MappingProxyType({0: "No Disease", 1: "Heart Disease"}),
@@ -49,13 +50,6 @@ HEART = DatasetSpec(
     drop=("id", "origin"),
     categorical=("sex", "cp", "restecg", "exang", "thal", "slope"),
     interactions=(("trestbps", "chol"), ("thalach", "oldpeak"), ("age", "chol")),
-    params=MappingProxyType({
-        "rf": {"numTrees": 200, "maxDepth": 10, "minInstancesPerNode": 2,
-               "featureSubsetStrategy": "sqrt"},
-        "gbt": {"maxIter": 80, "maxDepth": 6, "stepSize": 0.08, "subsamplingRate": 0.8,
-                "minInstancesPerNode": 3},
-        "lr": {"maxIter": 300, "regParam": 0.001, "elasticNetParam": 0.1},
-    }),
 )
 
 DIABETES = DatasetSpec(
@@ -72,12 +66,3 @@ DIABETES = DatasetSpec(
         "lr": {"maxIter": 500, "regParam": 0.001, "elasticNetParam": 0.2},
     }),
 )
-
-# Tuned parameters for a table without a spec of its own.
-CUSTOM_PARAMS = MappingProxyType({
-    "rf": {"numTrees": 200, "maxDepth": 8, "minInstancesPerNode": 3,
-           "featureSubsetStrategy": "sqrt"},
-    "gbt": {"maxIter": 60, "maxDepth": 5, "stepSize": 0.1, "subsamplingRate": 0.8,
-            "minInstancesPerNode": 3},
-    "lr": {"maxIter": 200, "regParam": 0.01, "elasticNetParam": 0.1},
-})
