@@ -6,9 +6,13 @@ others in an order of their own, so short texts band as well as long ones. Bands
 four registers propose pairs, a collision-corrected estimate of the similarity drops
 hopeless ones, and what is left is confirmed on the full shingle sets.
 
-Equal sets are one node from the start. Groups of one band are not paired out: every
-member is first compared with the group's most connected member, and only pairs that
-are still in different components afterwards are looked at one by one.
+Equal sets are one node from the start. Groups of one band are not paired out. Every
+member is first compared with the most connected member of its groups, its hub, and
+the likeliest leader. Of pairs that are still in different components, those with the
+same hub h are found without listing them all: with a = |x & h| and p the shingles of x
+outside h, a pair that shares no outside shingle has a similarity of at most
+min(a, a') / (max(a, a') + |p| + |p'|). So only pairs that share an outside shingle, or
+whose counts pass that bound, are looked at; pairs of different hubs as they are.
 """
 
 from __future__ import annotations
@@ -28,6 +32,8 @@ from riskframe.sources.tables import stored
 BUCKETS, BAND, MANTISSA = 128, 4, 10
 #: An estimate this many standard errors below the threshold is taken for a no.
 SIGMAS = 6.0
+#: A leader estimated less similar than this is no hub of a member.
+HUB = 0.4
 _BELOW = np.uint64((1 << 52) - 1)
 
 
@@ -106,8 +112,9 @@ def sketches(df: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
                           "set_a bigint, set_b bigint, filled int, bands array<bigint>")
 
 
-def _estimated(pairs: DataFrame, sketched: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, near) for the pairs whose sizes and estimates allow the threshold."""
+def _estimated(pairs: DataFrame, sketched: DataFrame, threshold: float, least: float = 1.0) -> DataFrame:
+    """(a, b, near, hope) for the pairs whose sizes allow the threshold and whose estimates
+    do, too (``hope``), or reach ``least``."""
     side = lambda s: sketched.select(F.col("key").alias(s), *(F.col(c).alias(f"{c}_{s}")
                                                               for c in ("n_shingles", "filled", "bands")))
     both = pairs.join(side("a"), "a").join(side("b"), "b").where(
@@ -122,17 +129,19 @@ def _estimated(pairs: DataFrame, sketched: DataFrame, threshold: float) -> DataF
             near = np.array([estimate(e, i, j) for e, i, j in zip(equal, n, m)])
             filled = np.minimum(b.column(6).to_numpy(), b.column(7).to_numpy())
             error = np.sqrt(threshold * (1 - threshold) / np.maximum(filled, 1))
-            keep = near >= threshold - SIGMAS * error
+            hope = near >= threshold - SIGMAS * error
+            keep = hope | (near >= least)
             yield pa.record_batch([b.column(0).filter(pa.array(keep)), b.column(1).filter(pa.array(keep)),
-                                   pa.array(near[keep])], names=["a", "b", "near"])
+                                   pa.array(near[keep]), pa.array(hope[keep])], names=["a", "b", "near", "hope"])
 
     kind = sketched.schema["key"].dataType.simpleString()
     return both.select("a", "b", "bands_a", "bands_b", "n_shingles_a", "n_shingles_b", "filled_a", "filled_b") \
-        .mapInArrow(compare, f"a {kind}, b {kind}, near double")
+        .mapInArrow(compare, f"a {kind}, b {kind}, near double, hope boolean")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, threshold: float, shingle: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough."""
+    """(a, b, linked, common, outside) of the pairs: whether their full shingle sets are
+    similar enough, the number of common shingles, and those of a that b has not."""
     both = (pairs.select("a", "b").join(texts.select(F.col("key").alias("a"), F.col("text").alias("x")), "a")
             .join(texts.select(F.col("key").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y"))
     hundred = round(threshold * 100)
@@ -141,22 +150,51 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, threshold: float, shingle: in
         for whole in batches:
             for part in slices(whole, 2):
                 for batch in slices(part, 3):
+                    n = batch.num_rows
                     x, at_x = shingle_sets(batch.column(2), shingle)
                     y, at_y = shingle_sets(batch.column(3), shingle)
-                    rows = np.concatenate([np.repeat(np.arange(batch.num_rows), np.diff(at_x)),
-                                           np.repeat(np.arange(batch.num_rows), np.diff(at_y))])
+                    rows = np.concatenate([np.repeat(np.arange(n), np.diff(at_x)), np.repeat(np.arange(n), np.diff(at_y))])
                     values = np.concatenate([x, y])
-                    order = np.lexsort((values, rows))
-                    rows, values = rows[order], values[order]
+                    from_x = np.arange(len(values)) < len(x)
+                    order = np.lexsort((~from_x, values, rows))
+                    rows, values, from_x = rows[order], values[order], from_x[order]
                     twice = (rows[1:] == rows[:-1]) & (values[1:] == values[:-1])
-                    common = np.bincount(rows[1:][twice], minlength=batch.num_rows)
+                    common = np.bincount(rows[1:][twice], minlength=n)
+                    outside = from_x.copy()
+                    outside[:-1] &= ~twice
                     union = np.diff(at_x) + np.diff(at_y) - common
-                    keep = pa.array((100 * common >= hundred * union) & (union > 0))
-                    yield pa.record_batch([batch.column(0).filter(keep), batch.column(1).filter(keep)],
-                                          names=["a", "b"])
+                    ends = np.concatenate([[0], np.cumsum(np.bincount(rows[outside], minlength=n))])
+                    yield pa.record_batch([
+                        batch.column(0), batch.column(1), pa.array((100 * common >= hundred * union) & (union > 0)),
+                        pa.array(common, pa.int64()), pa.ListArray.from_arrays(
+                            pa.array(ends, pa.int32()), pa.array(values[outside].view(np.int64)))],
+                        names=["a", "b", "linked", "common", "outside"])
 
     kind = texts.schema["key"].dataType.simpleString()
-    return both.mapInArrow(check, f"a {kind}, b {kind}")
+    return both.mapInArrow(check, f"a {kind}, b {kind}, linked boolean, common bigint, outside array<bigint>")
+
+
+def _of_one_hub(members: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of ``members`` (key, hub, component, common, outside) with the same hub
+    and different components that could be similar enough."""
+    counted = members.withColumn("size", F.size("outside"))
+    rare = counted.select("hub", "key", "component", F.explode("outside").alias("one"))
+    left, right = (rare.select("hub", "one", F.col("key").alias(k), F.col("component").alias(f"c{k}")) for k in "ab")
+    sharing = left.join(right, ["hub", "one"]).where("ca < cb").select("a", "b")
+    # by counts: the number of different counts is bounded by the hub's size, not by its members
+    kinds = counted.groupBy("hub", "common", "size").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    one, two = (kinds.select("hub", *(F.col(c).alias(f"{c}_{k}") for c in ("common", "size", "low", "high"))) for k in "ab")
+    able = one.join(two, "hub").where(
+        (F.least("common_a", "common_b") >= F.lit(threshold - 1e-9)
+         * (F.greatest("common_a", "common_b") + F.col("size_a") + F.col("size_b")))
+        & ((F.col("low_a") != F.col("high_b")) | (F.col("low_b") != F.col("high_a"))))
+    docs = counted.select("hub", "common", "size", "key", "component")
+    able = able.select("hub", "common_a", "size_a", "common_b", "size_b")
+    for k in "ab":
+        able = able.join(docs.select("hub", F.col("common").alias(f"common_{k}"), F.col("size").alias(f"size_{k}"),
+                                     F.col("key").alias(k), F.col("component").alias(f"c{k}")),
+                         ["hub", f"common_{k}", f"size_{k}"])
+    return sharing.unionByName(able.where("ca < cb").select("a", "b")).distinct()
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5,
@@ -183,30 +221,42 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shin
              .agg(F.max_by(F.col("key"), F.struct("degree", "key")).alias("lead")))
     stars = (shared.join(leads, ["band", "value"]).where("key <> lead")
              .select(F.col("key").alias("a"), F.col("lead").alias("b")).distinct())
-    likely = _estimated(stars, nodes, threshold)
-    best = likely.groupBy("a").agg(F.max_by("b", F.struct("near", "b")).alias("b"))
+    scored = stored(_estimated(stars, nodes, threshold, HUB), "scored")
+    best = scored.where("hope").groupBy("a").agg(F.max_by("b", F.struct("near", "b")).alias("b"))
+    hubs = (scored.join(degree.select(F.col("key").alias("b"), "degree"), "b")
+            .groupBy("a").agg(F.max_by("b", F.struct("degree", "b")).alias("b")))
     wanted = degree.select(F.col("key").alias("_k"))
     texts = stored(df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
                    .join(wanted, F.col("key") == F.col("_k"), "left_semi"), "texts")
-    links = stored(_confirmed(best, texts, threshold, shingle), "stars")
+    told = stored(_confirmed(hubs, texts, threshold, shingle), "hubs")
+    others = stored(_confirmed(best.join(hubs, ["a", "b"], "left_anti"), texts, threshold, shingle)
+                    .where("linked").select("a", "b"), "stars")
+    links = told.where("linked").select("a", "b").unionByName(others)
     groups = components(links)
-    # pairs of one band that the stars left in different components
+    # what the stars left in different components, though in one band
     placed = shared.join(groups, shared["key"] == groups["node"], "left").select(
         "band", "value", "key", F.coalesce("component", "key").alias("component"))
     open_ones = placed.groupBy("band", "value").agg(F.min("component").alias("low"), F.max("component").alias("high")) \
         .where("low <> high").select("band", "value")
-    placed = stored(placed.join(open_ones, ["band", "value"]), "open")
-    left = placed.select("band", "value", F.col("key").alias("a"), F.col("component").alias("ca"))
-    right = placed.select("band", "value", F.col("key").alias("b"), F.col("component").alias("cb"))
-    pairs = left.join(right, ["band", "value"]).where("ca < cb").select("a", "b").distinct()
-    more = stored(_confirmed(_estimated(pairs, nodes, threshold), texts, threshold, shingle), "pairs")
+    placed = placed.join(open_ones, ["band", "value"]).join(
+        told.select(F.col("a").alias("key"), F.col("b").alias("_hub")), "key", "left")
+    placed = stored(placed.select("band", "value", "key", "component", F.coalesce("_hub", "key").alias("hub")), "open")
+    left, right = (placed.select("band", "value", *(F.col(c).alias(f"{c}_{k}") for c in ("component", "hub")),
+                                 F.col("key").alias(k)) for k in "ab")
+    apart = left.join(right, ["band", "value"]).where(
+        "component_a < component_b and hub_a <> hub_b").select("a", "b")
+    members = placed.select("key", "component").distinct().join(
+        told.select(F.col("a").alias("key"), F.col("b").alias("hub"), "common", "outside"), "key")
+    pairs = apart.unionByName(_of_one_hub(members, threshold)).distinct()
+    hopeful = _estimated(pairs, nodes, threshold).where("hope")
+    more = stored(_confirmed(hopeful, texts, threshold, shingle).where("linked").select("a", "b"), "pairs")
     groups = components(links.unionByName(more))
     named = nodes.select("set_a", "set_b", F.col("key").alias("_node")).join(
         groups, F.col("_node") == F.col("node"), "left").select(
         "set_a", "set_b", F.coalesce("component", "_node").alias("_component"))
-    told = sketched.join(named.withColumn("_some", F.lit(True)), ["set_a", "set_b"], "left")
+    row = sketched.join(named.withColumn("_some", F.lit(True)), ["set_a", "set_b"], "left")
     component = F.when(F.col("key").isNotNull(), F.when(F.col("n_shingles") > 0, F.col("_component")).otherwise(F.col("key")))
-    return told.select(F.col("key").alias(key), "n_shingles", component.alias("component"),
+    return row.select(F.col("key").alias(key), "n_shingles", component.alias("component"),
                        F.coalesce(F.col("key") == component, F.lit(True)).alias("kept"))
 
 
