@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from riskframe.sources.tables import stored
+from riskframe.sources.tables import scratch_path, stored
 
 #: White space of every word rule here: space and the characters 9 to 13.
 SPACES = " \t\n\x0b\x0c\r"
@@ -63,6 +63,19 @@ def numbered(df: DataFrame, group: list[str], order: list[str], name: str,
             .drop("_range", "_rank"))
 
 
+def packed(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Like stored(), but packed more tightly; and where, so that forget() can drop it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def forget(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def quiet_threads() -> None:
     """One thread for each Python worker: Spark already runs one task per core."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")

@@ -22,7 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.llm.common import forget, packed
 from riskframe.llm.shingles import mixed, slices, text_bytes
+from riskframe.llm.urls import bloom_blocks, maybe_in
 from riskframe.sources.tables import stored
 
 GRAM = 20
@@ -187,21 +189,24 @@ def repeated_spans(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
                                F.octet_length("_text").cast("bigint").alias("n_bytes")), "listed")
     texts = listed.groupBy("_sha", "_code").agg(F.min("_order").alias("_first"))
 
-    grams = stored(own.select("_code", "_text").mapInArrow(
+    grams, grams_at = packed(own.select("_code", "_text").mapInArrow(
         _grams(length), "_code bigint, once array<bigint>, twice array<bigint>"), "grams")
     rows = grams.select("_code", F.explode("once").alias("gram"), F.lit(False).alias("again")).unionByName(
         grams.select("_code", F.explode("twice").alias("gram"), F.lit(True).alias("again")))
     common = (rows.groupBy("gram").agg(F.min("_code").alias("a"), F.max("_code").alias("b"), F.max("again").alias("t"))
               .where("a <> b or t").select("gram"))
-    lists = (rows.select("_code", "gram").join(common, "gram").groupBy("_code")
-             .agg(F.collect_set("gram").alias("grams")))
+    common = stored(common, "common")
+    # a filter of fixed size leaves few rows for the exact join
+    few = maybe_in(rows.select("_code", "gram"), "gram", bloom_blocks(common, "gram")).where("maybe_listed")
+    lists = stored(few.join(common, "gram").groupBy("_code").agg(F.collect_set("gram").alias("grams")), "lists")
+    forget(df.sparkSession, grams_at)
     wanted = texts.join(lists, "_code").select("_sha", "_first", "grams")
     chosen = own.withColumn("_order", order).join(wanted, "_sha").where(F.col("_order") == F.col("_first"))
-    kept = stored(chosen.select("_order", "_code", "grams", "_text").dropDuplicates(["_order", "_code"]), "repeating")
+    kept, _ = packed(chosen.dropDuplicates(["_sha"]).select("_order", "_code", "grams", "_text"), "repeating")
 
-    found = stored(kept.mapInArrow(_found(length), "gram bigint, print binary, _order bigint, _code bigint, "
+    found, _ = packed(kept.mapInArrow(_found(length), "gram bigint, print binary, _order bigint, _code bigint, "
                                    "first int, last int, bytes binary"), "contexts")
-    heads = stored(found.groupBy("gram", "print").agg(
+    heads, _ = packed(found.groupBy("gram", "print").agg(
         F.min(F.struct("_order", "_code", "first")).alias("head"), F.count("*").alias("n"),
         F.max("bytes").alias("bytes")), "heads")
     total = heads.agg(F.coalesce(F.sum(F.octet_length("bytes") + 1), F.lit(0))).first()[0]

@@ -44,7 +44,7 @@ def canonical(host: Column, path: Column) -> Column:
     return F.when(host != "", F.concat(h, p))
 
 
-def _block_and_bits(url: Column, blocks: int) -> list[Column]:
+def block_and_bits(url: Column, blocks: int) -> list[Column]:
     h = F.xxhash64(url)
     low = h.bitwiseAND(F.lit(0xFFFFFFFF))
     bits = [F.call_function("shiftleft", F.lit(1), F.pmod(F.shiftright(low * F.lit(s), 27), F.lit(32)).cast("int"))
@@ -55,10 +55,20 @@ def _block_and_bits(url: Column, blocks: int) -> list[Column]:
 
 def bloom_blocks(listed: DataFrame, url: str = "canonical", blocks: int = BLOCKS) -> DataFrame:
     """The filter's blocks that hold anything: at most ``blocks`` rows."""
-    bits = listed.select(*_block_and_bits(F.col(url), blocks))
+    bits = listed.select(*block_and_bits(F.col(url), blocks))
     return bits.groupBy("_block").agg(*(F.bit_or(f"_bit{i}").alias(f"_word{i}") for i in range(8)))
 
 
+def maybe_in(rows: DataFrame, key: str, blocks: DataFrame, count: int = BLOCKS) -> DataFrame:
+    """``rows`` with ``maybe_listed``: whether the filter ``blocks``, of ``count`` blocks at
+    most, holds ``key``."""
+    probed = rows.select("*", *block_and_bits(F.col(key), count)).join(F.broadcast(blocks), "_block", "left")
+    inside = F.lit(True)
+    for i in range(8):
+        inside = inside & (F.col(f"_word{i}").bitwiseAND(F.col(f"_bit{i}")) != 0)
+    return probed.select(*rows.columns, (F.coalesce(inside, F.lit(False)) & F.col(key).isNotNull()).alias("maybe_listed"))
+
+
 def judge_urls(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, str]],
                key: str = "page_id", url: str = "url", blocks: int = BLOCKS) -> DataFrame:
     """(key, host, path, rule, verdict, canonical, maybe_listed, listed) of every page.
@@ -84,17 +94,12 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, s
         rule, said = F.when(fits, name).otherwise(rule), F.when(fits, verdict).otherwise(said)
     own = own.withColumn("rule", rule).withColumn("_said", said)
     known = listed.select(F.col("canonical").alias("_known")).where("_known is not null").distinct()
-    places = _block_and_bits(F.col("canonical"), blocks)
-    probed = own.select("*", *places).join(
-        F.broadcast(bloom_blocks(known, "_known", blocks)), "_block", "left")  # at most `blocks` rows
-    inside = F.lit(True)
-    for i in range(8):
-        inside = inside & (F.col(f"_word{i}").bitwiseAND(F.col(f"_bit{i}")) != 0)
-    probed = probed.withColumn("maybe_listed", F.coalesce(inside, F.lit(False))
-                               & F.col("canonical").isNotNull())
+    probed = maybe_in(own, "canonical", bloom_blocks(known, "_known", blocks), blocks)
     hits = probed.where("maybe_listed").select("canonical").distinct().join(
         known, F.col("canonical") == F.col("_known"), "left_semi").withColumnRenamed("canonical", "_hit")
-    passed = F.when(F.col("maybe_listed"), F.col("canonical"))
+    # the others get keys of their own, so that they are dealt evenly
+    passed = F.when(F.col("maybe_listed"), F.col("canonical")).otherwise(
+        F.concat(F.lit("\0"), F.xxhash64(key, "host", "path").cast("string")))
     judged = probed.withColumn("_passed", passed).join(hits, F.col("_passed") == F.col("_hit"), "left")
     found = F.col("_hit").isNotNull()
     verdict = F.coalesce(F.col("_said"), F.when(found, "block").otherwise("allow"))
