@@ -19,7 +19,7 @@ from riskframe.llm.common import ascii_lower, words_of
 from riskframe.sources.tables import stored
 
 #: Words and shapes the classifier keeps, those that tell the domains apart most clearly.
-VOCABULARY, SLOTS = 2_000, 32_768
+VOCABULARY, SLOTS = 2_000, 16_384
 #: At most this many labelled rows are used for fitting, those with the smallest key hashes.
 LABELLED = 50_000
 #: Documents' worth of belief that a feature is equally common in every domain.
@@ -208,9 +208,11 @@ def mix(df: DataFrame, labels: DataFrame, targets: Mapping[str, float], domains:
     Null and empty texts have no tokens and the prior's posteriors, so they count for
     nothing and follow their domains' rates; a null key draws like any other value.
     """
-    model, rates, _ = mixing_rates(df, labels, targets, domains, key, text)
-    rated = df.select(F.struct("*").alias("_row"), model.posteriors(F.col(f"`{text}`")).alias("_p"),
-                      F.col(f"`{key}`").alias("_k"))
-    taken = rated.select("_row", copies_of(rates.of(F.col("_p")), F.col("_k")).alias("_n"))
+    model = fit_domains(df, labels, domains, key, text)
+    held = stored(df.select(F.struct("*").alias("_row"), F.col(f"`{key}`").alias("_k"),
+                            F.size(words_of(F.col(f"`{text}`"))).cast("long").alias("tokens"),
+                            model.posteriors(F.col(f"`{text}`")).alias("posteriors")), "rated")
+    rates = fit_rates(held.select("tokens", "posteriors"), targets, domains)
+    taken = held.select("_row", copies_of(rates.of(F.col("posteriors")), F.col("_k")).alias("_n"))
     return (taken.where("_n > 0").select("_row", F.explode(F.array_repeat(F.lit(0), F.col("_n").cast("int"))))
             .select("_row.*"))
