@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from riskframe.operators import augment, neighbors
 from riskframe.operators.neighbors import build_index, knn
@@ -95,3 +96,18 @@ def test_augment_table_without_key(spark):
     assert out.count() == 3 * (40 + 10 * 5)
     assert out.filter("b is null").count() == 0
     assert {r[0] for r in out.select("num").distinct().collect()} == {0, 1}
+
+
+def test_many_slots_of_few_rows_are_spread(spark):
+    """Two rare rows against many: their slots come from several partitions, and all come."""
+    df = spark.range(20_002).select("id", F.when(F.col("id") < 2, 1).otherwise(0).alias("y"),
+                                    F.col("id").cast("double").alias("a"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        made = augment.smote_balance(df, "id", ["a"], "y").persist()
+        made.count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    spread = made.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in spread) == 19_998 and len(spread) > 2
+    assert made.select("key").distinct().count() == 19_998

@@ -80,7 +80,7 @@ def brute_knn(train, rows_, k):
     return np.array(out)
 
 
-@pytest.mark.parametrize("chunk, cells", [(16_384, 4_096), (7, 4_096), (16_384, 8)])
+@pytest.mark.parametrize("chunk, cells", [(16_384, 4_096), (7, 4_096), (16_384, 8), (7, 8)])
 def test_knn_equals_brute_force(spark, monkeypatch, chunk, cells):
     from riskframe.operators import neighbors
     monkeypatch.setattr(neighbors, "CHUNK_ROWS", chunk)

@@ -95,3 +95,9 @@ def test_noise_has_the_given_spread(spark):
     noise = [r[0] for r in rows(sampling.add_noise(df, ["v"], "id", sd=0.5)
                                 .select(F.col("v") - F.col("id")))]
     assert statistics.stdev(noise) == pytest.approx(0.5, abs=0.03) and not any(map(math.isnan, noise))
+
+
+def test_exact_split_wants_keys(spark):
+    df = spark.createDataFrame([(None, 1)] * 5 + [(1, 0), (2, 1)], "id long, y int")
+    with pytest.raises(ValueError, match="nulls"):
+        sampling.test_side(df, "y", "id", 0.2, exact=True)

@@ -96,3 +96,27 @@ def test_sparse_scaling_predicts_alike(spark):
                           {"maxIter": 200, "regParam": 0.0, "elasticNetParam": 0.0}, scale_encoded=dense)
         both.append([r[0] for r in score(model, df, "id").orderBy("id").select("risk_probability").collect()])
     assert max(map(math.fabs, (a - b for a, b in zip(*both)))) < 1e-3
+
+
+def test_a_seed_gives_one_model_whatever_the_partitions(spark):
+    df = Preparation(SPEC).fit(patients(spark)).transform(patients(spark))
+    both = []
+    for parts in (1, 7):
+        model = fit_model(df.repartition(parts), ["age", "chol"], ["sex"], "num", "rf",
+                          {"numTrees": 5, "maxDepth": 4, "seed": 1}, key="id")
+        both.append([r[0] for r in score(model, df, "id").orderBy("id").select("risk_probability").collect()])
+    assert both[0] == both[1]
+
+
+def test_a_row_scores_alike_in_the_batch_and_alone(spark):
+    df = Preparation(SPEC).fit(patients(spark)).transform(patients(spark))
+    model = fit_model(df, ["age", "chol", "ca"], ["sex"], "num", "lr", {"maxIter": 20}, key="id")
+    batch = {r["id"]: r["risk_probability"] for r in score(model, df, "id").collect()}
+    for i in (0, 17, 599):
+        assert score(model, df.where(F.col("id") == i), "id").first()["risk_probability"] == batch[i]
+
+
+def test_encoders_refuse_by_the_exact_count(spark):
+    df = Preparation(SPEC).fit(patients(spark)).transform(patients(spark))
+    with pytest.raises(ValueError, match="too many values"):
+        fit_model(df, ["age"], ["sex"], "num", most=1)
