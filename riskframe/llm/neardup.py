@@ -238,8 +238,18 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shin
         "band", "value", "key", F.coalesce("component", "key").alias("component"))
     open_ones = placed.groupBy("band", "value").agg(F.min("component").alias("low"), F.max("component").alias("high")) \
         .where("low <> high").select("band", "value")
-    placed = placed.join(open_ones, ["band", "value"]).join(
-        told.select(F.col("a").alias("key"), F.col("b").alias("_hub")), "key", "left")
+    placed = stored(placed.join(open_ones, ["band", "value"]), "unsettled")
+    # hubs have hubs: a family meets at the last of them
+    tops = told.select("a", F.col("b").alias("top"))
+    for _ in range(3):
+        up = told.select(F.col("a").alias("top"), F.col("b").alias("_next"))
+        tops = stored(tops.join(up, "top", "left").select("a", F.coalesce("_next", "top").alias("top")), "tops")
+    moved = (tops.join(told.select("a", "b"), "a").where("top <> b")
+             .join(placed.select(F.col("key").alias("a")).distinct(), "a", "left_semi")
+             .select("a", F.col("top").alias("b")))
+    told = told.join(moved.select("a"), "a", "left_anti").unionByName(
+        stored(_confirmed(moved, texts, threshold, shingle), "tops"))
+    placed = placed.join(told.select(F.col("a").alias("key"), F.col("b").alias("_hub")), "key", "left")
     placed = stored(placed.select("band", "value", "key", "component", F.coalesce("_hub", "key").alias("hub")), "open")
     left, right = (placed.select("band", "value", *(F.col(c).alias(f"{c}_{k}") for c in ("component", "hub")),
                                  F.col("key").alias(k)) for k in "ab")
