@@ -8,11 +8,15 @@ hopeless ones, and what is left is confirmed on the full shingle sets.
 
 Equal sets are one node from the start. Groups of one band are not paired out. Every
 member is first compared with the most connected member of its groups, its hub, and
-the likeliest leader. Of pairs that are still in different components, those with the
-same hub h are found without listing them all: with a = |x & h| and p the shingles of x
-outside h, a pair that shares no outside shingle has a similarity of at most
-min(a, a') / (max(a, a') + |p| + |p'|). So only pairs that share an outside shingle, or
-whose counts pass that bound, are looked at; pairs of different hubs as they are.
+the likeliest leader; hubs that meet in a band give way to the most connected one. Of
+pairs that are still in different components, those of one hub h are found by what they
+differ in from h, m missing and p outside shingles, d together. With r = (1 - t) / (1 + t),
+x and y are linked if they share at least (d + d' - r * (|x| + |y|)) / 2 differences, and
+x and h are not linked only if d > r * (|x| + |h|). So a pair, at least one of which is not
+linked with h, shares more than (m * (1 + r) + p * (1 - r)) / 2 of the differences of the
+other: an outside shingle few members have, or one of the few rarest missing shingles;
+the outside shingles many members have lengthen the latter. Pairs of different hubs are
+looked at as they are.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.llm.components import components
@@ -34,6 +38,8 @@ BUCKETS, BAND, MANTISSA = 128, 4, 10
 SIGMAS = 6.0
 #: A leader estimated less similar than this is no hub of a member.
 HUB = 0.4
+#: Outside shingles of over this share of a hub's unlinked members propose no pairs.
+OFTEN = 0.25
 _BELOW = np.uint64((1 << 52) - 1)
 
 
@@ -140,8 +146,8 @@ def _estimated(pairs: DataFrame, sketched: DataFrame, threshold: float, least: f
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, threshold: float, shingle: int) -> DataFrame:
-    """(a, b, linked, common, outside) of the pairs: whether their full shingle sets are
-    similar enough, the number of common shingles, and those of a that b has not."""
+    """(a, b, linked, n, outside, missing) of the pairs: whether their full shingle sets are
+    similar enough, the number of shingles of a, those b has not, and those of b that a has not."""
     both = (pairs.select("a", "b").join(texts.select(F.col("key").alias("a"), F.col("text").alias("x")), "a")
             .join(texts.select(F.col("key").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y"))
     hundred = round(threshold * 100)
@@ -163,38 +169,58 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, threshold: float, shingle: in
                     outside = from_x.copy()
                     outside[:-1] &= ~twice
                     union = np.diff(at_x) + np.diff(at_y) - common
-                    ends = np.concatenate([[0], np.cumsum(np.bincount(rows[outside], minlength=n))])
+                    missing = ~from_x
+                    missing[1:] &= ~twice
                     yield pa.record_batch([
                         batch.column(0), batch.column(1), pa.array((100 * common >= hundred * union) & (union > 0)),
-                        pa.array(common, pa.int64()), pa.ListArray.from_arrays(
-                            pa.array(ends, pa.int32()), pa.array(values[outside].view(np.int64)))],
-                        names=["a", "b", "linked", "common", "outside"])
+                        pa.array(np.diff(at_x), pa.int64()), *(pa.ListArray.from_arrays(
+                            pa.array(np.concatenate([[0], np.cumsum(np.bincount(rows[some], minlength=n))]), pa.int32()),
+                            pa.array(values[some].view(np.int64))) for some in (outside, missing))],
+                        names=["a", "b", "linked", "n", "outside", "missing"])
 
     kind = texts.schema["key"].dataType.simpleString()
-    return both.mapInArrow(check, f"a {kind}, b {kind}, linked boolean, common bigint, outside array<bigint>")
+    return both.mapInArrow(check, f"a {kind}, b {kind}, linked boolean, n bigint, outside array<bigint>, missing array<bigint>")
 
 
 def _of_one_hub(members: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) of ``members`` (key, hub, component, common, outside) with the same hub
-    and different components that could be similar enough."""
-    counted = members.withColumn("size", F.size("outside"))
-    rare = counted.select("hub", "key", "component", F.explode("outside").alias("one"))
-    left, right = (rare.select("hub", "one", F.col("key").alias(k), F.col("component").alias(f"c{k}")) for k in "ab")
-    sharing = left.join(right, ["hub", "one"]).where("ca < cb").select("a", "b")
-    # by counts: the number of different counts is bounded by the hub's size, not by its members
-    kinds = counted.groupBy("hub", "common", "size").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    one, two = (kinds.select("hub", *(F.col(c).alias(f"{c}_{k}") for c in ("common", "size", "low", "high"))) for k in "ab")
-    able = one.join(two, "hub").where(
-        (F.least("common_a", "common_b") >= F.lit(threshold - 1e-9)
-         * (F.greatest("common_a", "common_b") + F.col("size_a") + F.col("size_b")))
-        & ((F.col("low_a") != F.col("high_b")) | (F.col("low_b") != F.col("high_a"))))
-    docs = counted.select("hub", "common", "size", "key", "component")
-    able = able.select("hub", "common_a", "size_a", "common_b", "size_b")
-    for k in "ab":
-        able = able.join(docs.select("hub", F.col("common").alias(f"common_{k}"), F.col("size").alias(f"size_{k}"),
-                                     F.col("key").alias(k), F.col("component").alias(f"c{k}")),
-                         ["hub", f"common_{k}", f"size_{k}"])
-    return sharing.unionByName(able.where("ca < cb").select("a", "b")).distinct()
+    """Pairs (a, b) of ``members`` (key, hub, component, linked, n, outside, missing) with the
+    same hub and different components that could be similar enough; see above."""
+    ratio = (1 - threshold) / (1 + threshold)
+    sized = members.withColumns({"p": F.size("outside"), "m": F.size("missing")})
+    many = sized.where("not linked").groupBy("hub").agg((F.count("*") * OFTEN).alias("many"))
+    common = (sized.where("not linked").select("hub", F.explode("outside").alias("one"))
+              .groupBy("hub", "one").agg(F.count("*").alias("times")).join(many, "hub").where("times > many")
+              .groupBy("hub").agg(F.collect_list("one").alias("common")))  # at most p / OFTEN on average
+    sized = (sized.join(common, "hub", "left").withColumn("common", F.coalesce("common", F.expr("array()").cast("array<bigint>")))
+             .withColumns({"c": F.size(F.array_intersect("outside", "common")),
+                           "every": F.col("outside"), "outside": F.array_except("outside", "common")}).drop("common"))
+    named = ("key", "component", "linked", "n", "p", "m", "c")
+
+    def postings(df: DataFrame, of: str, side: str) -> DataFrame:
+        return df.select("hub", F.explode(of).alias("one"), *(F.col(c).alias(f"{c}_{side}") for c in named))
+
+    least = (F.col("m_a") + F.col("p_a") + F.col("m_b") + F.col("p_b")
+             - F.lit(ratio) * (F.col("n_a") + F.col("n_b"))) / 2 - F.lit(1e-6)
+    apart = (F.col("component_a") != F.col("component_b")) & (F.col("linked_b") | (F.col("key_a") < F.col("key_b")))
+    # a is not linked with the hub; were both linked, they would be in one component
+    loose = sized.where("not linked")
+    missing = F.least("m_a", "m_b")
+    need = F.ceil((F.col("m_b") * F.lit(1 + ratio) + F.col("p_b") * F.lit(1 - ratio)) / 2
+                  - F.lit(1e-6)) - F.col("c_b")  # of the missing shingles
+    # a member so near the hub that common outside shingles may be all it shares looks at those, too
+    near = postings(loose, "every", "a").join(postings(sized, "every", "b").where(need < 1), ["hub", "one"])
+    sharing = postings(loose, "outside", "a").join(postings(sized, "outside", "b"), ["hub", "one"]).where(
+        apart).unionByName(near.where(F.col("component_a") != F.col("component_b"))).where(
+        (missing + F.least("p_a", "p_b") >= least)).select("key_a", "key_b")
+    lost = postings(loose, "missing", "a")
+    often = lost.groupBy("hub", "one").agg(F.count("*").alias("often"))
+    rarest = Window.partitionBy("key_b").orderBy(F.coalesce("often", F.lit(0)), "one")
+    prefix = (postings(sized, "missing", "b").where(need.between(1, F.col("m_b"))).join(often, ["hub", "one"], "left")
+              .withColumn("_nth", F.row_number().over(rarest)).where(F.col("_nth") <= F.col("m_b") - need + 1))
+    either = F.col("component_a") != F.col("component_b")  # the prefixes of a and b differ, so both orders
+    alike = lost.join(prefix, ["hub", "one"]).where(either & (missing + F.least("c_a", "c_b") >= least)).select("key_a", "key_b")
+    return sharing.unionByName(alike).select(F.least("key_a", "key_b").alias("a"),
+                                             F.greatest("key_a", "key_b").alias("b")).distinct()
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5,
@@ -239,16 +265,26 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shin
     open_ones = placed.groupBy("band", "value").agg(F.min("component").alias("low"), F.max("component").alias("high")) \
         .where("low <> high").select("band", "value")
     placed = stored(placed.join(open_ones, ["band", "value"]), "unsettled")
-    # hubs have hubs: a family meets at the last of them
-    tops = told.select("a", F.col("b").alias("top"))
+    # hubs that meet in a band give way to the most connected one, so a family has one hub
+    hubbed = placed.join(told.select(F.col("a").alias("key"), F.col("b").alias("hub")), "key").select(
+        "band", "value", "hub").distinct().join(
+        degree.select(F.col("key").alias("hub"), "degree"), "hub")
+    left, right = (hubbed.select("band", "value", F.col("hub").alias(k), F.struct("degree", "hub").alias(f"rank_{k}"))
+                   for k in "ab")
+    met = left.join(right, ["band", "value"]).where("rank_a < rank_b").select("a", "b").distinct()
+    up = stored(_estimated(met, nodes, threshold, HUB).join(degree.select(F.col("key").alias("b"), "degree"), "b")
+                .groupBy("a").agg(F.max_by("b", F.struct("degree", "b")).alias("_next")), "up")
+    tops = told.select("a", F.col("b").alias("top")).unionByName(
+        up.join(told, "a", "left_anti").select("a", F.col("a").alias("top")))
     for _ in range(3):
-        up = told.select(F.col("a").alias("top"), F.col("b").alias("_next"))
-        tops = stored(tops.join(up, "top", "left").select("a", F.coalesce("_next", "top").alias("top")), "tops")
-    moved = (tops.join(told.select("a", "b"), "a").where("top <> b")
+        tops = stored(tops.join(up.withColumnRenamed("a", "top"), "top", "left")
+                      .select("a", F.coalesce("_next", "top").alias("top")), "tops")
+    moved = (tops.join(told.select("a", "b"), "a", "left").where("top <> a and (b is null or top <> b)")
              .join(placed.select(F.col("key").alias("a")).distinct(), "a", "left_semi")
              .select("a", F.col("top").alias("b")))
-    told = told.join(moved.select("a"), "a", "left_anti").unionByName(
-        stored(_confirmed(moved, texts, threshold, shingle), "tops"))
+    moved = stored(_confirmed(moved, texts, threshold, shingle), "moved")
+    told = told.join(moved.select("a"), "a", "left_anti").unionByName(moved)
+    links = links.unionByName(moved.where("linked").select("a", "b"))
     placed = placed.join(told.select(F.col("a").alias("key"), F.col("b").alias("_hub")), "key", "left")
     placed = stored(placed.select("band", "value", "key", "component", F.coalesce("_hub", "key").alias("hub")), "open")
     left, right = (placed.select("band", "value", *(F.col(c).alias(f"{c}_{k}") for c in ("component", "hub")),
@@ -256,7 +292,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shin
     apart = left.join(right, ["band", "value"]).where(
         "component_a < component_b and hub_a <> hub_b").select("a", "b")
     members = placed.select("key", "component").distinct().join(
-        told.select(F.col("a").alias("key"), F.col("b").alias("hub"), "common", "outside"), "key")
+        told.select(F.col("a").alias("key"), F.col("b").alias("hub"), "linked", "n", "outside", "missing"), "key")
     pairs = apart.unionByName(_of_one_hub(members, threshold)).distinct()
     hopeful = _estimated(pairs, nodes, threshold).where("hope")
     more = stored(_confirmed(hopeful, texts, threshold, shingle).where("linked").select("a", "b"), "pairs")
