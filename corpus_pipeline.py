@@ -19,8 +19,9 @@ from riskframe.sources.tables import stored
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go; the rest stay as they are. An empty table stays empty."""
-    return keep_good(docs)
+    """Rejected documents go; the rest lose their boilerplate lines, n_chars following. An
+    empty table stays empty."""
+    return keep_good(docs, length="n_chars")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
