@@ -4,7 +4,8 @@ Texts that are equal are one text from the start. Every window of ``length`` byt
 belongs to the smallest hashed gram inside it, so equal windows anywhere belong to
 the same gram; neighbouring windows of one gram form a context. Grams that occur once
 are dropped by counting, equal contexts are counted once, and the different contexts
-of the same grams meet in blocks of bounded size.
+of the same grams meet in blocks of bounded size. Grams with more contexts than a block
+holds are split into their windows, which meet by their hashes in an aggregation.
 
 In a block, breadth-first backward extension on the Burrows-Wheeler transform visits
 the intervals of ever longer strings and so finds the common prefixes of neighbouring
@@ -209,10 +210,22 @@ def repeated_spans(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
     heads, _ = packed(found.groupBy("gram", "print").agg(
         F.min(F.struct("_order", "_code", "first")).alias("head"), F.count("*").alias("n"),
         F.max("bytes").alias("bytes")), "heads")
-    total = heads.agg(F.coalesce(F.sum(F.octet_length("bytes") + 1), F.lit(0))).first()[0]
+    size = F.sum(F.octet_length("bytes") + 1).alias("size")
+    total = heads.agg(size).first()[0] or 0
     parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // (8 * BLOCK)))
-    blocks = heads.select("gram", "head.*", "bytes").repartition(parts, "gram").sortWithinPartitions("gram")
+    # few buckets of grams hold more than a block; only their grams are summed up one by one
+    dealt = heads.withColumn("bucket", F.pmod(F.xxhash64("gram"), F.lit(16 * total // BLOCK + 1)))
+    full = dealt.groupBy("bucket").agg(size).where(F.col("size") > BLOCK).select("bucket")
+    large = stored(dealt.join(F.broadcast(full), "bucket", "left_semi").groupBy("gram").agg(size)
+                   .where(F.col("size") > BLOCK).select("gram"), "large")
+    each, crowded = heads.select("gram", "head.*", "bytes"), not large.isEmpty()
+    if crowded:  # at most one gram for each BLOCK bytes of contexts
+        crowd = each.join(F.broadcast(large), "gram", "left_semi")
+        each = each.join(F.broadcast(large), "gram", "left_anti")
+    blocks = each.repartition(parts, "gram").sortWithinPartitions("gram")
     first_only = blocks.mapInArrow(_blocks(length), "_order bigint, _code bigint, start int, end int")
+    if crowded:
+        first_only = first_only.unionByName(_later_windows(crowd, length))
     others = (found.select("gram", "print", "_order", "_code", "first", "last")
               .join(heads.where("n > 1").select("gram", "print", "head"), ["gram", "print"])
               .where("struct(_order, _code, first) <> head")
@@ -306,6 +319,46 @@ def _blocks(length: int):
     return run
 
 
+def _later_windows(crowd: DataFrame, length: int) -> DataFrame:
+    """(_order, _code, start, end) of the runs of windows of ``crowd`` that also start earlier.
+
+    Equal windows meet by hash and the earliest is kept, before and after the shuffle, so
+    no row count of a gram or a window lands in one task. What is kept goes back to its own
+    context, which has at most one row for each of its windows.
+    """
+    windows = crowd.select("_order", "_code", "first", "bytes").mapInArrow(
+        _window_prints(length), "print binary, _order bigint, _code bigint, start int, first int")
+    earliest = (windows.groupBy("print").agg(F.min(F.struct("_order", "_code", "start", "first")).alias("w"))
+                .groupBy("w._order", "w._code", "w.first").agg(F.collect_list("w.start").alias("starts")))
+    last = F.col("first") + F.octet_length("bytes") - length
+    later = F.filter(F.sequence("first", last), lambda x: ~F.coalesce(F.array_contains("starts", x), F.lit(False)))
+    runs = crowd.select("_order", "_code", "first", "bytes").join(
+        earliest, ["_order", "_code", "first"], "left").select("_order", "_code", later.alias("later"))
+    ends = F.arrays_zip(F.filter("later", lambda x: ~F.array_contains("later", x - 1)).alias("a"),
+                        F.filter("later", lambda x: ~F.array_contains("later", x + 1)).alias("b"))
+    return runs.select("_order", "_code", F.explode(ends).alias("run")).select(
+        "_order", "_code", F.col("run.a").alias("start"), (F.col("run.b") + length).alias("end"))
+
+
+def _window_prints(length: int):
+    """Every window of every context, as a hash."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, 3):
+                contexts = batch.column(3).to_pylist()
+                counts = np.array([len(c) - length + 1 for c in contexts], np.int64)
+                row = np.repeat(np.arange(len(contexts)), counts)
+                place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+                prints = [hashlib.blake2b(c[i:i + length], digest_size=16).digest()
+                          for c, n in zip(contexts, counts.tolist()) for i in range(n)]
+                rows, first = pa.array(row), batch.column(2).to_numpy()
+                yield pa.record_batch([
+                    pa.array(prints, pa.binary()), batch.column(0).take(rows), batch.column(1).take(rows),
+                    pa.array(first[row] + place, pa.int32()), batch.column(2).take(rows)],
+                    names=["print", "_order", "_code", "start", "first"])
+    return run
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     for batch in batches:
