@@ -40,8 +40,8 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents leave, stay or repeat as their fitted rates say.
 
-    The total is large enough that no wanted domain shrinks, so clean documents stay;
-    those judged toxic leave.
+    The total is large enough that no wanted domain shrinks in tokens; documents that may
+    be toxic leave, and cleaner ones of their domain repeat for them.
     """
     return mix(docs, domain_labels(spark, sf_dir), TARGETS, DOMAINS)
 

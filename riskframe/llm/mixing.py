@@ -1,17 +1,21 @@
 """Soft-membership mixing of documents to target domain weights.
 
 A naive Bayes classifier fitted on a labelled table gives each document the
-posterior of every domain. Projected-gradient least squares then finds document
-rates r >= 0, starting from 1, whose expected tokens by domain, sum of r * tokens *
-posterior, meet the targets. The gradient needs one number per domain from one
-pass over the narrow table of posteriors, so the driver only holds those numbers.
+posterior of every domain. Least squares projected to rates r >= 0 then finds the
+document rates nearest to 1 whose expected tokens by domain, sum of r * tokens *
+posterior, meet the targets. Such rates are one step from 1 along a gradient of one
+number per domain, cut off at 0; Newton's method finds those numbers. It needs their
+sums and products from one pass over the narrow table of posteriors each time, so the
+driver only holds those.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Callable, Mapping, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -134,10 +138,15 @@ def fit_domains(df: DataFrame, labels: DataFrame, domains: Sequence[str], key: s
 
 
 class Rates:
-    """Fitted rates: the steps taken from rate 1, each projected to stay at 0 or above."""
+    """Fitted rates: the steps taken from rate 1, each projected to stay at 0 or above.
 
-    def __init__(self, steps: list[list[float]]):
-        self.steps = steps
+    ``wanted`` and ``reached`` are the tokens by domain, in order, and ``met`` tells
+    whether they agree within the tolerance.
+    """
+
+    def __init__(self, steps: list[list[float]], wanted: Sequence[float] = (), reached: Sequence[float] = (),
+                 met: bool = True):
+        self.steps, self.wanted, self.reached, self.met = steps, list(wanted), list(reached), met
 
     def of(self, posteriors: Column, start: Column | None = None, since: int = 0) -> Column:
         rate = F.lit(1.0) if start is None else start
@@ -150,38 +159,69 @@ class Rates:
 
 
 def fit_rates(members: DataFrame, targets: Mapping[str, float], domains: Sequence[str],
-              total: float | None = None, spare: float = 1.02, rounds: int = 15,
+              total: float | None = None, spare: float = 1.02, rounds: int = 200,
               tolerance: float = 1e-4) -> Rates:
     """Rates for ``members`` (tokens, posteriors), read once per round; give a stored table.
 
-    Stops when the targets are met or a round gains under a hundredth of the loss.
     ``targets`` are weights of the domains and ``total`` the tokens wanted; by
     default enough that no wanted domain has to shrink, times ``spare``. Squared
-    errors count relative to what a domain holds, which makes step 1 safe.
+    errors count relative to what a domain holds. A price on leaving rate 1 is
+    lowered until the targets are met within ``tolerance`` of the total, or, where
+    no rates meet them, until a tenth of the price moves no domain's tokens by more
+    than that. Targets that are not met are told with a warning.
     """
-    def totals(rate: Column) -> list[float]:
-        row = members.agg(*(F.coalesce(F.sum(rate * F.col("tokens") * F.get("posteriors", F.lit(d))), F.lit(0.0))
-                            for d in range(len(domains)))).first()
-        return [float(x) for x in row]
+    n = len(domains)
+    pairs = [(d, e) for d in range(n) for e in range(d, n)]
+
+    def at(step: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """Half the sum of squared rates, the tokens by domain, and their slopes, at a step."""
+        rate = Rates([(-step).tolist()]).of(F.col("posteriors"))
+        p, tokens = [F.get("posteriors", F.lit(d)) for d in range(n)], F.col("tokens").cast("double")
+        rated = members.select(tokens.alias("t"), rate.alias("r"), *(c.alias(f"p{d}") for d, c in enumerate(p)))
+        row = [float(x or 0.0) for x in rated.agg(
+            F.sum(F.expr("t * r * r / 2")), *(F.sum(F.expr(f"t * r * p{d}")) for d in range(n)),
+            *(F.sum(F.expr(f"if(r > 0, t * p{d} * p{e}, 0D)")) for d, e in pairs)).first()]
+        slopes = np.zeros((n, n))
+        for (d, e), x in zip(pairs, row[1 + n:]):
+            slopes[d, e] = slopes[e, d] = x
+        return row[0], np.array(row[1:1 + n]), slopes
 
-    have = totals(F.lit(1.0))
     weight = sum(targets.get(d, 0.0) for d in domains)
     if weight <= 0 or min(targets.values()) < 0:
         raise ValueError("give weights of 0 or more, one of them above 0, for known domains")
-    share = [targets.get(d, 0.0) / weight for d in domains]
+    share = np.array([targets.get(d, 0.0) / weight for d in domains])
+    step = np.zeros(n)
+    here = at(step)
+    have = here[1]
     if total is None:
         total = spare * max(h / s for h, s in zip(have, share) if s > 0)
-    want, now, rates, loss = [total * s for s in share], have, Rates([]), math.inf
-    for _ in range(rounds):
-        off = [n - w for n, w in zip(now, want)]
-        if not sum(have) or max(map(abs, off)) <= tolerance * total:
-            break
-        before, loss = loss, sum(o * o / h for o, h in zip(off, have) if h > 0)
-        if loss > 0.99 * before:
+    want, scale = total * share, np.where(have > 0, have, 1.0)
+    if not have.sum():
+        return Rates([], want, have, bool(max(abs(want)) <= tolerance * total))
+    close, price, before, used = tolerance * total, 0.1, have, 1
+    while max(abs(here[1] - want)) > close:
+        def cost(step: np.ndarray, seen: tuple) -> float:
+            return seen[0] + price * float(scale @ (step * step)) / 2 - float(want @ step)
+        while used < rounds:
+            slope = here[1] + price * scale * step - want
+            if max(abs(slope)) <= close / 10:
+                break
+            move = -np.linalg.solve(here[2] + price * np.diag(scale), slope)
+            size, gain = 1.0, float(slope @ move)
+            while used < rounds:
+                there, used = at(step + size * move), used + 1
+                if cost(step + size * move, there) <= cost(step, here) + 1e-4 * size * gain + 1e-12 * total:
+                    break
+                size /= 2
+            step, here = step + size * move, there
+        if used >= rounds or max(abs(here[1] - before)) <= close or price < 1e-9:
             break
-        rates.steps.append([o / h if h > 0 else 0.0 for o, h in zip(off, have)])
-        now = totals(rates.of(F.col("posteriors")))
-    return rates
+        before, price = here[1], price / 10
+    met = bool(max(abs(here[1] - want)) <= close)
+    if not met:
+        told = ", ".join(f"{d} {r:.6g} of {w:.6g}" for d, r, w in zip(domains, here[1], want))
+        warnings.warn(f"mixing targets are not met after {used} passes; tokens reached: {told}", stacklevel=2)
+    return Rates([(-step).tolist()] if step.any() else [], want, here[1], met)
 
 
 def mixing_rates(df: DataFrame, labels: DataFrame, targets: Mapping[str, float], domains: Sequence[str],
