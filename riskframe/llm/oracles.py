@@ -129,6 +129,29 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
 
+OP11 = """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, d.vec_id, a.label = d.label AS same,
+         CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * d.v[i])) AS BIGINT) AS score
+  FROM usable a JOIN usable d ON a.vec_id <> d.vec_id WHERE a.vec_id % 50 = 0
+), positive AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INT) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 3
+"""
+
+
 def oracles() -> dict[str, str]:
     return {"op2_url_filter": OP2, "op4_rendezvous_shards": OP4, "op7_quality_rules": OP7,
-            "op9_dual_tree_topk": OP9}
+            "op9_dual_tree_topk": OP9, "op11_bond_negatives": OP11}
