@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskframe.llm.bpe import decode_ids, encode_texts
 from riskframe.llm.common import table, words_of
 from riskframe.llm.mixing import copies_of, mixing_rates
 from riskframe.llm.neardup import near_duplicates
+from riskframe.llm.negatives import hard_negatives
 from riskframe.llm.packing import pack_documents
 from riskframe.llm.pii import find_personal
 from riskframe.llm.quality import judge_quality
+from riskframe.llm.resample import resample
 from riskframe.llm.secrets import scan_secrets
 from riskframe.llm.sharding import rendezvous, shard_records
 from riskframe.llm.substrings import repeated_spans
@@ -112,6 +115,25 @@ def op10_configuration_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_bond_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives(rows, rows.where(F.col("vec_id") % 50 == 0))
+
+
+def op12_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coded = decode_ids(encode_texts(table(spark, sf_dir, "documents"), path), path)
+    return coded.select("doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (op1_soft_mixing, op2_url_filter, op3_bwt_substrings, op4_rendezvous_shards, op5_secret_scan,
-                                  op6_weak_supervision_pii, op7_quality_rules, op8_hyperminhash_neardup, op9_dual_tree_topk, op10_configuration_packing)}
+                                  op6_weak_supervision_pii, op7_quality_rules, op8_hyperminhash_neardup, op9_dual_tree_topk, op10_configuration_packing,
+                                  op11_bond_negatives, op12_prefix_bpe, op13_importance_resampling)}
 ORACLES = {k: v for k, v in oracles().items() if k in QUERIES}
