@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from riskframe.llm.common import quiet_threads
 
 #: Words, and pairs of tokens, that a worker remembers before it lets go of the older half.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 #: Rows encoded at a time, and words cut at a time.
 ROWS, RUN = 1_000, 5_000
 NEVER = 1 << 60
@@ -155,31 +155,71 @@ def as_bytes(ids: list[int]) -> bytes:
 
 
 _coders: dict[str, Coder] = {}
+_decoders: dict[str, Decoder] = {}
+
+
+def _read(path: str) -> dict:
+    """A tokenizer file, refused unless it is plain byte-level BPE."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model, before = spec["model"], spec["pre_tokenizer"] or {}
+    plain = (model["type"] == "BPE" and before.get("type") == "ByteLevel" and before.get("use_regex", True)
+             and not before.get("add_prefix_space") and not spec["normalizer"]
+             and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix",
+                                                "end_of_word_suffix", "ignore_merges")))
+    if not plain or any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"]):
+        raise ValueError(f"{path} is not a plain byte-level BPE tokenizer")
+    return spec
+
+
+class Decoder:
+    """Texts of ids; holds nothing but each id's bytes.
+
+    The byte alphabet shows printable bytes as themselves and numbers the others, in
+    order, from 256 on.
+    """
+
+    def __init__(self, path: str):
+        spec = _read(path)
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in set(shown)]
+        byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+        names = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.bytes_of = [b""] * (max(names.values()) + 1)
+        for name, token in names.items():
+            known = all(c in byte for c in name)
+            self.bytes_of[token] = bytes(byte[c] for c in name) if known else name.encode()
+
+    @staticmethod
+    def at(path: str) -> Decoder:
+        if path not in _decoders:
+            _decoders[path] = Decoder(path)
+        return _decoders[path]
+
+    def decode(self, ids: bytes) -> str:
+        """The text of ids; bytes that are no text become replacement characters, and ids
+        beyond the vocabulary are skipped."""
+        names, most = self.bytes_of, len(self.bytes_of)
+        numbers = np.frombuffer(ids, "<u4")
+        if len(numbers) and int(numbers.max()) >= most:
+            numbers = numbers[numbers < most]
+        return b"".join([names[i] for i in numbers.tolist()]).decode("utf-8", "replace")
 
 
 class Coder:
-    """Ids of whole texts as little-endian 32-bit bytes, and texts of ids."""
+    """Ids of whole texts as little-endian 32-bit bytes."""
 
     def __init__(self, path: str):
         quiet_threads()
         from tokenizers import Tokenizer
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        model, before = spec["model"], spec["pre_tokenizer"] or {}
-        plain = (model["type"] == "BPE" and before.get("type") == "ByteLevel" and before.get("use_regex", True)
-                 and not before.get("add_prefix_space") and not spec["normalizer"]
-                 and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix",
-                                                    "end_of_word_suffix", "ignore_merges")))
-        added = spec["added_tokens"]
-        if not plain or any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in added):
-            raise ValueError(f"{path} is not a plain byte-level BPE tokenizer")
+        spec = _read(path)
+        model, added = spec["model"], spec["added_tokens"]
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.table = PrefixTable(model["vocab"], merges)
         self.cut = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
         self.special = {t["content"]: as_bytes([t["id"]]) for t in added}
         self.special_names = sorted(self.special, key=len, reverse=True)
         self.words, self.chunks = Remembered(), Remembered()
-        self.bytes_of = self._token_bytes(model["vocab"], added)
 
     @staticmethod
     def at(path: str) -> Coder:
@@ -187,20 +227,6 @@ class Coder:
             _coders[path] = Coder(path)
         return _coders[path]
 
-    @staticmethod
-    def _token_bytes(vocabulary: dict[str, int], added: list[dict]) -> list[bytes]:
-        """Each id's bytes. The byte alphabet shows printable bytes as themselves and
-        numbers the others, in order, from 256 on."""
-        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        hidden = [b for b in range(256) if b not in set(shown)]
-        byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
-        names = vocabulary | {t["content"]: t["id"] for t in added}
-        out = [b""] * (max(names.values()) + 1)
-        for name, token in names.items():
-            known = all(c in byte for c in name)
-            out[token] = bytes(byte[c] for c in name) if known else name.encode()
-        return out
-
     def _of_words(self, words: list[str]) -> list[bytes]:
         new = self.words.missing(words)
         known, ids = self.words.young, self.table.ids
@@ -273,15 +299,6 @@ class Coder:
             if len(c) > 100:  # long chunks seldom come again
                 known.pop(c, None)
 
-    def decode(self, ids: bytes) -> str:
-        """The text of ids; bytes that are no text become replacement characters, and ids
-        beyond the vocabulary are skipped."""
-        names, most = self.bytes_of, len(self.bytes_of)
-        numbers = np.frombuffer(ids, "<u4")
-        if len(numbers) and int(numbers.max()) >= most:
-            numbers = numbers[numbers < most]
-        return b"".join([names[i] for i in numbers.tolist()]).decode("utf-8", "replace")
-
 
 def encode_texts(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, ids) for every row: the ids of its whole text, four little-endian bytes each.
@@ -314,11 +331,11 @@ def decode_ids(df: DataFrame, tokenizer: str, ids: str = "ids", name: str = "dec
     place = columns.index(ids)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder.at(tokenizer)
+        decoder = Decoder.at(tokenizer)
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
-                texts = [None if i is None else coder.decode(i) for i in batch.column(place).to_pylist()]
+                texts = [None if i is None else decoder.decode(i) for i in batch.column(place).to_pylist()]
                 yield pa.record_batch([*batch.columns, pa.array(texts, pa.string())],
                                       names=[*columns, name])
 

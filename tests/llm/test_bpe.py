@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from riskframe.llm import bpe
-from riskframe.llm.bpe import Coder, PrefixTable, Remembered, decode_ids, encode_texts
+from riskframe.llm.bpe import Coder, Decoder, PrefixTable, Remembered, decode_ids, encode_texts
 from riskframe.llm.queries import QUERIES
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -36,10 +36,10 @@ def test_coder_is_the_library(library):
     texts += ["".join(chr(rng.choice([rng.randint(0, 0xd7ff), rng.randint(0xe000, 0x10ffff), 32, 97])) for _ in range(30))
               for _ in range(500)]
     texts += [library.decode([rng.randrange(50256) for _ in range(8)]) for _ in range(1500)]
-    coder = Coder(PATH)
+    coder, decoder = Coder(PATH), Decoder(PATH)
     for text, got in zip(texts, coder.encode(texts), strict=True):
         assert got == ids(library, text), text
-        assert coder.decode(got) == library.decode(np.frombuffer(got, "<u4").tolist(), skip_special_tokens=False)
+        assert decoder.decode(got) == library.decode(np.frombuffer(got, "<u4").tolist(), skip_special_tokens=False)
 
 
 def test_every_token_is_its_own_encoding():
