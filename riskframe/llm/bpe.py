@@ -300,8 +300,10 @@ class Coder:
                 known.pop(c, None)
 
 
-def encode_texts(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, ids) for every row: the ids of its whole text, four little-endian bytes each.
+def encode_texts(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text",
+                 decoded: str | None = None) -> DataFrame:
+    """(key, ids[, decoded]) for every row: the ids of its whole text, four little-endian
+    bytes each, and with ``decoded`` named the text that these ids give.
 
     Ids are those of the tokenizer file without special tokens added; names of its added
     tokens inside a text become their ids, as in the tokenizers library. A null text
@@ -311,15 +313,19 @@ def encode_texts(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str =
     own = df.select(F.col(f"`{key}`").alias(key), F.col(f"`{text}`").alias("_text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder.at(tokenizer)
+        coder, decoder = Coder.at(tokenizer), Decoder.at(tokenizer)
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
-                texts = [t or "" for t in batch.column(1).to_pylist()]
-                yield pa.record_batch([batch.column(0), pa.array(coder.encode(texts), pa.binary())],
-                                      names=[key, "ids"])
-
-    return own.mapInArrow(encode, f"`{key}` {df.schema[key].dataType.simpleString()}, ids binary")
+                ids = list(coder.encode([t or "" for t in batch.column(1).to_pylist()]))
+                columns, names = [batch.column(0), pa.array(ids, pa.binary())], [key, "ids"]
+                if decoded:
+                    columns.append(pa.array([decoder.decode(i) for i in ids], pa.string()))
+                    names.append(decoded)
+                yield pa.record_batch(columns, names=names)
+
+    more = f", `{decoded}` string" if decoded else ""
+    return own.mapInArrow(encode, f"`{key}` {df.schema[key].dataType.simpleString()}, ids binary{more}")
 
 
 def decode_ids(df: DataFrame, tokenizer: str, ids: str = "ids", name: str = "decoded") -> DataFrame:

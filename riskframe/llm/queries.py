@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm.bpe import decode_ids, encode_texts
+from riskframe.llm.bpe import encode_texts
 from riskframe.llm.common import table, words_of
 from riskframe.llm.mixing import copies_of, mixing_rates
 from riskframe.llm.neardup import near_duplicates
@@ -124,7 +124,7 @@ def op11_bond_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     path = public_tokenizers.path("byte_bpe_50k.json")
-    coded = decode_ids(encode_texts(table(spark, sf_dir, "documents"), path), path)
+    coded = encode_texts(table(spark, sf_dir, "documents"), path, decoded="decoded")
     return coded.select("doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                         F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
