@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.columns import known
+from riskframe.operators.boosting import BoostingParams, partitions_for
 from riskframe.operators.clean import MAX_CLASSES
 from riskframe.operators.evaluate import auc, evaluate
 from riskframe.operators.features import assembler, check_cardinality, encoder, indexer
@@ -29,11 +30,9 @@ DEFAULTS = {
     "lr": {"maxIter": 300, "regParam": 0.001, "elasticNetParam": 0.1},
 }
 
-# The slow, heavily sampled boosting variant (``algo="gbt"``).
-# Its leaf penalties (L1 0.5, L2 1) and split penalty 1 have no counterpart in
-# Spark ML's trees and are not imitated; ``minInfoGain`` can be given as a parameter.
-SLOW_BOOSTING = {"maxIter": 300, "maxDepth": 4, "stepSize": 0.05, "subsamplingRate": 0.8,
-                 "featureSubsetStrategy": "0.8", "minInstancesPerNode": 1, "seed": 42}
+# The slow, heavily sampled boosting variant with leaf and split penalties.
+SLOW_BOOSTING = BoostingParams(rounds=300, depth=4, rate=0.05, rows=0.8, columns=0.8, gamma=1.0,
+                               l1=0.5, l2=1.0, seed=42)
 
 _CLASSIFIERS = {"rf": RandomForestClassifier, "gbt": GBTClassifier, "lr": LogisticRegression}
 
@@ -68,20 +67,21 @@ def build_stages(numeric: Sequence[str], categorical: Sequence[str], label: str,
 def fit_model(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str,
               algo: str = "lr", params: Mapping | None = None,
               weight: str | None = "_class_weight", scale_encoded: bool = False,
-              key: str | None = None, partitions: int = 32,
+              key: str | None = None, partitions: int | None = None,
               most: int = MAX_CLASSES) -> PipelineModel:
     """Fit the stages; refuses categoricals with more than ``most`` values.
 
     Training passes over the rows many times, so they are stored once, only the
     columns in use. With ``key`` they are dealt to ``partitions`` by its hash and
     sorted: row samples depend on both, so a seed then gives the same model on any
-    number of cores. Take more partitions for tables beyond some 10 GB.
+    number of cores. ``partitions`` follows the counted rows, one for every 200,000.
     """
     check_cardinality(train, categorical, most)
     used = [*numeric, *categorical, label, *([weight] if weight else [])]
     if key:
         rows = stored(train.select(key, *(c for c in used if c != key)), "training")
-        rows = rows.repartition(partitions, key).sortWithinPartitions(key)
+        parts = partitions or partitions_for(rows.count())
+        rows = rows.repartition(parts, key).sortWithinPartitions(key)
     else:
         rows = stored(train.select(*used), "training")
     return build_stages(numeric, categorical, label, algo, params, weight,

@@ -78,8 +78,10 @@ def test_saved_model_scores_alike_and_keeps_every_row(spark):
 
 def test_stages_follow_the_requested_model(spark):
     names = [type(s).__name__ for s in build_stages(["a"], ["c"], "y", "rf").getStages()]
-    assert names == ["StringIndexer", "OneHotEncoder", "VectorAssembler", "StandardScaler",
-                     "RandomForestClassifier"]
+    assert names == ["StringIndexer", "OneHotEncoder", "VectorAssembler", "VectorAssembler", "StandardScaler",
+                     "VectorAssembler", "RandomForestClassifier"]
+    names = [type(s).__name__ for s in build_stages(["a"], ["c"], "y", "rf", scale_encoded=True).getStages()]
+    assert names == ["StringIndexer", "OneHotEncoder", "VectorAssembler", "StandardScaler", "RandomForestClassifier"]
     assert type(build_stages(["a"], [], "y", "no such model").getStages()[-1]).__name__ == "LogisticRegression"
     gbt = build_stages(["a"], [], "y", "gbt").getStages()[-1]
     assert (gbt.getMaxIter(), gbt.getMaxDepth(), gbt.getStepSize(), gbt.getSubsamplingRate(),
