@@ -10,6 +10,7 @@ from riskcheck.registry import (EVENTS_RAW, LABELLED_DOCS, MESSY_EVENTS, RISK_EV
                                 RISK_LINEITEM, events_raw, labelled_docs, messy_events, query,
                                 risk_events, risk_lineitem, rounded, sql_vectors, table,
                                 vectors)
+from riskframe.operators.dictionary import fit_dictionary
 from riskframe.operators import clean, features, impute
 from riskframe.plans import Preparation
 from riskframe.sources import conform, frame_from_records, read_table, scratch_path, trim_headers, write_table
@@ -323,6 +324,39 @@ def _(spark, sf):
     return features.string_index(messy_events(spark, sf).select("event_id", "cat"), "cat")
 
 
+#: Line items with a tag of as many values as orders, one of which holds a third of all rows.
+TAGGED = """tagged AS (SELECT l_orderkey * 8 + l_linenumber AS line_id, l_linenumber,
+  CASE WHEN l_linenumber <= 2 THEN 'hot' WHEN l_linenumber < 7 THEN CAST(l_orderkey AS VARCHAR) END AS tag FROM lineitem),
+numbers AS (SELECT tag, row_number() OVER (ORDER BY count(*) DESC, tag) - 1 AS idx
+  FROM tagged WHERE l_linenumber <= 4 AND tag IS NOT NULL GROUP BY tag)"""
+
+
+def tagged_lines(spark, sf):
+    """The tagged lines, and the dictionary of the tags of some of them."""
+    number = F.col("l_linenumber")
+    lines = table(spark, sf, "lineitem").select(
+        (F.col("l_orderkey") * 8 + number).alias("line_id"), number,
+        F.when(number <= 2, "hot").when(number < 7, F.col("l_orderkey").cast("string")).alias("tag"))
+    return lines.drop("l_linenumber"), fit_dictionary(lines.where(number <= 4), "tag")
+
+
+@query("d7_string_index_wide", f"""WITH {TAGGED}
+SELECT line_id, tag, coalesce(idx, (SELECT count(*) FROM numbers)) AS tag_idx FROM tagged LEFT JOIN numbers USING (tag)""")
+def _(spark, sf):
+    lines, dictionary = tagged_lines(spark, sf)
+    return dictionary.transform(lines)
+
+
+@query("d8_one_hot_wide", f"""WITH {TAGGED}, size AS (SELECT count(*) AS n FROM numbers)
+SELECT line_id, n + 1 AS width, coalesce(idx, n) AS slot, 1.0::DOUBLE AS value FROM tagged CROSS JOIN size LEFT JOIN numbers USING (tag)""")
+def _(spark, sf):
+    lines, dictionary = tagged_lines(spark, sf)
+    hot = F.col("tag_ohe")
+    return dictionary.one_hot(lines).select("line_id", hot["size"].alias("width"), F.explode(
+        F.arrays_zip(hot["indices"], hot["values"])).alias("z")).select("line_id", "width", F.col("z.indices").alias("slot"),
+                                                                        F.col("z.values").alias("value"))
+
+
 @query("d8_one_hot", f"""WITH {INDEXED}
 SELECT event_id, CAST(cat_idx AS INTEGER) AS hot_slot,
   CAST((SELECT count(*) + 1 FROM ranked) AS INTEGER) AS width, 1.0::DOUBLE AS total FROM indexed""")
