@@ -202,28 +202,27 @@ def _gap(i, name="vec_id"):
     return f"({name} * 7 + {3 * i}) % 5 = 0"
 
 
-KNN_DIST = " + ".join(f"coalesce((q.e{i} - d.e{i}) * (q.e{i} - d.e{i}), 0)" for i in range(4))
-KNN_SHARED = " + ".join(f"CAST(q.e{i} IS NOT NULL AND d.e{i} IS NOT NULL AS INTEGER)" for i in range(4))
-
-
-def _knn_fill(i):
-    return f"""fill{i} AS (SELECT vec_id, avg(e) AS f FROM (
-  SELECT q.vec_id, d.e{i} AS e, row_number() OVER (PARTITION BY q.vec_id
-    ORDER BY ({KNN_DIST}) * (4.0 / ({KNN_SHARED})), d.vec_id) AS rn
-  FROM gappy q JOIN gappy d ON q.e{i} IS NULL AND d.e{i} IS NOT NULL AND {KNN_SHARED} > 0)
-  WHERE rn <= 5 GROUP BY vec_id)"""
-
-
-@query("c5_knn_impute_vectors", f"""WITH {sql_vectors(4)},
-gappy AS (SELECT vec_id, {", ".join(f"CASE WHEN NOT {_gap(i)} THEN e{i} END AS e{i}" for i in range(4))} FROM vecs),
-{", ".join(_knn_fill(i) for i in range(4))}
-SELECT vec_id, {", ".join(f"round(coalesce(e{i}, fill{i}.f), 6) + 0.0 AS e{i}" for i in range(4))}
-FROM gappy {" ".join(f"LEFT JOIN fill{i} USING (vec_id)" for i in range(4))}""")
-def _(spark, sf):
-    """Four coordinates with gaps in each: many patterns, several targets, scaled distances."""
-    df = vectors(spark, sf).select("vec_id", *(F.expr(f"case when not {_gap(i)} then e{i} end").alias(f"e{i}")
-                                               for i in range(4)))
-    filled = impute.KnnImputer(tuple(f"e{i}" for i in range(4)), "vec_id").fit(df).transform(df)
+DIMS = 64
+KNN_DIST = " + ".join(f"coalesce((q.e{i} - d.e{i}) * (q.e{i} - d.e{i}), 0)" for i in range(DIMS))
+KNN_SHARED = " + ".join(f"CAST(q.e{i} IS NOT NULL AND d.e{i} IS NOT NULL AS INTEGER)" for i in range(DIMS))
+
+
+@query("c5_knn_impute_vectors", f"""WITH {sql_vectors(DIMS)},
+gappy AS MATERIALIZED (SELECT vec_id, {", ".join(f"CASE WHEN NOT {_gap(i)} THEN e{i} END AS e{i}" for i in range(DIMS))} FROM vecs),
+pairs AS MATERIALIZED (SELECT q.vec_id AS q_id, d.vec_id AS d_id, ({KNN_DIST}) * ({DIMS}.0 / ({KNN_SHARED})) AS dist
+  FROM gappy q, gappy d WHERE {KNN_SHARED} > 0),
+cells AS (SELECT vec_id, unnest(range({DIMS})) AS i, unnest([{", ".join(f"e{i}" for i in range(DIMS))}]) AS e FROM gappy),
+near AS (SELECT m.vec_id, m.i, c.e, row_number() OVER (PARTITION BY m.vec_id, m.i ORDER BY dist, d_id) AS rn
+  FROM cells m JOIN pairs ON m.vec_id = q_id JOIN cells c ON c.vec_id = d_id AND c.i = m.i
+  WHERE m.e IS NULL AND c.e IS NOT NULL),
+fill AS (SELECT vec_id, {", ".join(f"avg(e) FILTER (i = {i}) AS f{i}" for i in range(DIMS))} FROM near WHERE rn <= 5 GROUP BY vec_id)
+SELECT vec_id, {", ".join(f"round(coalesce(e{i}, f{i}), 6) + 0.0 AS e{i}" for i in range(DIMS))}
+FROM gappy LEFT JOIN fill USING (vec_id)""")
+def _(spark, sf):
+    """All coordinates with gaps in each: many patterns, several targets, scaled distances."""
+    df = vectors(spark, sf, DIMS).select("vec_id", *(F.expr(f"case when not {_gap(i)} then e{i} end").alias(f"e{i}")
+                                               for i in range(DIMS)))
+    filled = impute.KnnImputer(tuple(f"e{i}" for i in range(DIMS)), "vec_id").fit(df).transform(df)
     return rounded(filled)
 
 

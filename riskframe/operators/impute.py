@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from riskframe.functions.columns import known, numeric_columns, value_map
 from riskframe.operators.clean import _replace, present
 from riskframe.operators.neighbors import DonorIndex, build_index, knn
+from riskframe.sources.tables import stored
 from riskframe.operators.quantiles import OVERALL, quantiles
 
 
@@ -171,7 +172,10 @@ class KnnModel:
         lacking = F.lit(False)
         for c in cols:
             lacking = lacking | F.col(c).isNull()
-        gaps = df.filter(lacking)
+        # stored with a mark: every step below reads it, and a filter on many derived columns
+        # would have the optimizer work out what it implies for each combination of them
+        df = stored(df.withColumn("_lacking", lacking), "knn-rows")
+        whole, gaps = df.filter(~F.col("_lacking")).drop("_lacking"), df.filter("_lacking").drop("_lacking")
         wanted = F.filter(F.array(*(F.when(F.col(c).isNull(), F.lit(i))
                                     for i, c in enumerate(cols))), lambda i: i.isNotNull())
         asked = gaps.select(self.key, *cols, F.explode(wanted).alias("_target"))
@@ -184,8 +188,8 @@ class KnnModel:
         filled = gaps.join(fills, self.key, "left")
         exprs = {c: F.coalesce(F.col(c), F.col(f"_fill{i}"), F.lit(self.means[c]))
                  for i, c in enumerate(cols)}
-        filled = _replace(filled, exprs).select(*df.columns)
-        return df.filter(~lacking).unionByName(filled).drop(*self.empty)
+        filled = _replace(filled, exprs).select(*whole.columns)
+        return whole.unionByName(filled).drop(*self.empty)
 
 
 @dataclass(frozen=True)

@@ -7,7 +7,10 @@ How it stays exact without comparing every pair:
 
 1. The donors are cut into cells by median splits learned on a bounded sample.
    The sample only shapes the cells. Each cell holds rows with the same missing
-   coordinates and is summarised by its row count and bounding box.
+   coordinates and is summarised by its row count and bounding box. These cells are
+   bounded in number; one that holds too many rows is cut again, by splits learned
+   from its own rows, and the boxes of these inner cells are a table: a query meets
+   those of a cell only when it has to search that cell.
 2. Each query first searches the cells nearest to it that together hold k
    donors. The k-th distance found bounds the answer.
 3. It then searches every other cell whose box is not farther than that bound.
@@ -36,10 +39,11 @@ from riskframe.functions.keyed_random import uniform
 from riskframe.sources.tables import stored
 
 CELL_ROWS = 2_048       # wanted donors per cell
-MAX_CELLS = 4_096       # cells are summarised on the driver, so they are bounded
+MAX_CELLS = 4_096       # outer cells are summarised on the driver, so they are bounded
 SAMPLE_ROWS = 32_768    # donors sampled to place the splits
 CHUNK_ROWS = 16_384     # most rows of either side in one group
-MAX_COORDINATES = 60    # missing coordinates are noted as bits of a long
+INNER_SAMPLE = 8        # donors sampled for each inner cell
+MIXED = "mixed"         # the pattern of the rare patterns together
 
 # Executors get these helpers with the task, they need no copy of the package.
 cloudpickle.register_pickle_by_value(__import__("sys").modules[__name__])
@@ -49,41 +53,40 @@ cloudpickle.register_pickle_by_value(__import__("sys").modules[__name__])
 class DonorIndex:
     """Donors with their cell, and the summary of the cells."""
 
-    donors: DataFrame            # donor_key, x0.., cell
+    donors: DataFrame            # donor_key, x0.., cell, sub
     dims: int
     k: int
     splits: tuple                # per inner node: coordinate, value
-    boxes: dict                  # arrays: cell, mask, mixed, n, lo, hi
+    boxes: dict                  # arrays: name, mixed, has, all, n, lo, hi
     centre: tuple                # stands in for missing coordinates when placing a row
+    inner: DataFrame | None = None   # cell, sub, n, lo, hi, all of the cells that are cut again
 
 
 def _xs(dims):
     return [f"x{i}" for i in range(dims)]
 
 
-def _mask(dims):
-    bits = [F.when(F.col(f"x{i}").isNotNull(), F.lit(1 << i)).otherwise(0).cast("long")
-            for i in range(dims)]
-    total = bits[0]
-    for b in bits[1:]:
-        total = total + b
-    return total
+def _pattern(dims):
+    """Which coordinates a row has, as a text of 0 and 1."""
+    return F.concat(*(F.when(F.col(f"x{i}").isNotNull(), "1").otherwise("0") for i in range(dims)))
 
 
 def build_index(df: DataFrame, key: str, cols: Sequence[str], k: int,
                 cell_rows: int = CELL_ROWS, seed: int = 42) -> DonorIndex:
     """Cut the donor table into cells. ``key`` must identify a row."""
     dims = len(cols)
-    if not 0 < dims <= MAX_COORDINATES:
-        raise ValueError(f"between 1 and {MAX_COORDINATES} coordinates are supported")
+    if not dims:
+        raise ValueError("at least one coordinate is needed")
     xs = _xs(dims)
     rows = df.select(F.col(key).alias("donor_key"),
                      *(_clean(F.col(c)).alias(x) for c, x in zip(cols, xs)))
-    rows = rows.filter(_mask(dims) > 0)
+    # written before it is filtered: what a filter on many derived columns implies for
+    # each of them would be worked out at length by the optimizer
+    rows = stored(rows.withColumn("mask", _pattern(dims)), "donor-rows")
     copies = Window.partitionBy(*xs).orderBy("donor_key")
-    rows = rows.withColumn("copy", F.row_number().over(copies)).filter(F.col("copy") <= k) \
-        .drop("copy")
-    masked = stored(rows.withColumn("mask", _mask(dims)), "donors")
+    rows = rows.filter(F.contains("mask", F.lit("1"))).withColumn("copy", F.row_number().over(copies)) \
+        .filter(F.col("copy") <= k).drop("copy")
+    masked = stored(rows, "donors")
     rows = masked.drop("mask")
     common = masked.groupBy("mask").count().orderBy(F.desc("count"), "mask") \
         .limit(MAX_CELLS // 4 + 1).collect()
@@ -102,24 +105,72 @@ def build_index(df: DataFrame, key: str, cols: Sequence[str], k: int,
         sample = picked.to_numpy(dtype="float64", na_value=np.nan)
     centre, splits = _place_splits(sample, depth, dims)
     # rows with rare patterns of missing coordinates share one cell per leaf
-    pattern = F.when(F.col("mask").isin(masks), F.col("mask")).otherwise(F.lit(-1))
+    pattern = F.when(F.col("mask").isin(masks), F.col("mask")).otherwise(MIXED)
     leaf = _leaf_of(splits, centre)(*(F.col(x) for x in xs)) if splits else F.lit(0)
     placed = masked.withColumn("pattern", pattern).withColumn("leaf", leaf)
     cells = placed.groupBy("pattern", "leaf").agg(
         F.count("*").alias("n"), *(F.min(x).alias(f"lo_{x}") for x in xs),
         *((F.count(x) == F.count("*")).alias(f"all_{x}") for x in xs),
         *(F.max(x).alias(f"hi_{x}") for x in xs)).collect()
-    cells = sorted(cells, key=lambda r: (r["pattern"], r["leaf"]))
-    boxes = {
-        "pattern": np.array([r["pattern"] for r in cells], dtype="int64"),
-        "leaf": np.array([r["leaf"] for r in cells], dtype="int64"),
-        "n": np.array([r["n"] for r in cells], dtype="int64"),
-        "lo": np.array([[_nan(r[f"lo_{x}"]) for x in xs] for r in cells]).reshape(-1, dims),
-        "hi": np.array([[_nan(r[f"hi_{x}"]) for x in xs] for r in cells]).reshape(-1, dims),
-        "all": np.array([[r[f"all_{x}"] for x in xs] for r in cells], dtype=bool).reshape(-1, dims),
-    }
+    cells = sorted(cells, key=lambda r: (r["pattern"] != MIXED, r["pattern"], r["leaf"]))
+    boxes = _boxes([f"{r['pattern']}:{r['leaf']}" for r in cells], [r["n"] for r in cells],
+                   [[_nan(r[f"lo_{x}"]) for x in xs] for r in cells],
+                   [[_nan(r[f"hi_{x}"]) for x in xs] for r in cells],
+                   [[r[f"all_{x}"] for x in xs] for r in cells], dims)
     donors = placed.select("donor_key", *xs, F.concat_ws(":", "pattern", "leaf").alias("cell"))
-    return DonorIndex(donors, dims, k, splits, boxes, centre)
+    crowded = {name: int(n) for name, n in zip(boxes["name"], boxes["n"]) if n > 2 * cell_rows}
+    if not crowded:
+        return DonorIndex(donors.withColumn("sub", F.lit(0)), dims, k, splits, boxes, centre)
+    donors, inner = _cut_again(donors, crowded, dims, cell_rows, centre, seed)
+    return DonorIndex(donors, dims, k, splits, boxes, centre, inner)
+
+
+def _cut_again(donors: DataFrame, crowded: dict, dims: int, cell_rows: int, centre, seed: int):
+    """Donors with their inner cell, and the boxes of the inner cells as a table.
+
+    A crowded cell's splits come from a keyed sample of its own rows. Its rows are placed
+    in chunks, so that no task holds a cell.
+    """
+    spark, xs = donors.sparkSession, _xs(dims)
+    shape = [(c, max(1, math.ceil(math.log2(n / cell_rows))), math.ceil(n / CHUNK_ROWS), n) for c, n in crowded.items()]
+    small = F.broadcast(spark.createDataFrame(shape, "cell string, depth int, chunks int, held long"))  # MAX_CELLS rows
+    mine = donors.join(small, "cell")
+    share = F.least(F.lit(1.0), INNER_SAMPLE * F.pow(F.lit(2.0), "depth") / F.col("held"))
+    sample = mine.filter(uniform(seed, "inner", F.col("donor_key")) < share).select("cell", "depth", "chunks", *xs)
+
+    def learn(part: pd.DataFrame) -> pd.DataFrame:
+        found = _place_splits(part[xs].to_numpy(dtype="float64", na_value=np.nan), int(part["depth"].iloc[0]), dims, centre)[1]
+        return pd.DataFrame({"cell": part["cell"].iloc[:1], "chunks": part["chunks"].iloc[:1],
+                             "axis": [[int(a) for a, _ in found]], "cut": [[float(c) for _, c in found]]})
+    learned = sample.groupBy("cell").applyInPandas(learn, "cell string, chunks int, axis array<int>, cut array<double>")
+    plans = learned.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).drop("chunks")
+    dealt = mine.withColumn("chunk", F.pmod(F.xxhash64("donor_key"), F.col("chunks")).cast("int")) \
+        .select("donor_key", *xs, "cell", "chunk")
+
+    def place(rows: pd.DataFrame, plan: pd.DataFrame) -> pd.DataFrame:
+        sub = np.zeros(len(rows), dtype="int32")
+        if len(plan):
+            x = rows[xs].to_numpy(dtype="float64", na_value=np.nan)
+            sub = _leaves(x, np.asarray(plan["axis"].iloc[0]), np.asarray(plan["cut"].iloc[0]), np.array(centre))
+        return rows[["donor_key", *xs, "cell"]].assign(sub=sub)
+    layout = T.StructType([*donors.schema.fields, T.StructField("sub", T.IntegerType())])
+    cut = dealt.groupBy("cell", "chunk").cogroup(plans.groupBy("cell", "chunk")).applyInPandas(place, layout)
+    rest = donors.join(small.select("cell"), "cell", "left_anti").select(*donors.columns).withColumn("sub", F.lit(0))
+    refined = stored(cut.unionByName(rest), "donor-cells")
+    arrays = {"lo": F.min, "hi": F.max, "all": lambda x: F.count(x) == F.count("*")}
+    inner = refined.join(small.select("cell"), "cell", "left_semi").groupBy("cell", "sub").agg(
+        F.count("*").alias("n"), *(F.array(*(f(x) for x in xs)).alias(name) for name, f in arrays.items()))
+    return refined, stored(inner, "inner-boxes")
+
+
+def _boxes(names: Sequence[str], n, lo, hi, every, dims: int) -> dict:
+    """Cells as arrays. ``has`` tells which coordinates a cell's pattern has."""
+    patterns = [str(name).rsplit(":", 1)[0] for name in names]
+    return {"name": np.array(names, dtype=object), "n": np.array(n, dtype="int64"),
+            "mixed": np.array([p == MIXED for p in patterns], dtype=bool),
+            "has": np.array([[p != MIXED and c == "1" for c in p.rjust(dims, "0")[:dims]] for p in patterns], dtype=bool).reshape(-1, dims),
+            "lo": np.array(lo, dtype="float64").reshape(-1, dims), "hi": np.array(hi, dtype="float64").reshape(-1, dims),
+            "all": np.array(every, dtype=bool).reshape(-1, dims)}
 
 
 def _nan(value):
@@ -131,13 +182,14 @@ def _clean(c):
     return F.when(~F.isnan(c), c)
 
 
-def _place_splits(sample: np.ndarray, depth: int, dims: int):
+def _place_splits(sample: np.ndarray, depth: int, dims: int, centre=None):
     """Median splits of the widest coordinate, level by level."""
     if not len(sample):
         return tuple([0.0] * dims), ()
-    with np.errstate(all="ignore"):
-        centre = np.array([np.median(c[~np.isnan(c)]) if (~np.isnan(c)).any() else 0.0
-                           for c in sample.T])
+    if centre is None:
+        with np.errstate(all="ignore"):
+            centre = [np.median(c[~np.isnan(c)]) if (~np.isnan(c)).any() else 0.0 for c in sample.T]
+    centre = np.array(centre)
     full = np.where(np.isnan(sample), centre, sample)
     scale = full.std(axis=0)
     scale[scale == 0] = 1.0
@@ -158,20 +210,24 @@ def _leaf_of(splits, centre):
     axis = np.array([a for a, _ in splits])
     cut = np.array([c for _, c in splits])
     centre = np.array(centre)
-    depth = int(math.log2(len(splits) + 1))
 
     @F.pandas_udf("int")
     def leaf(*xs: pd.Series) -> pd.Series:
         rows = np.column_stack([x.to_numpy(dtype="float64", na_value=np.nan) for x in xs])
-        rows = np.where(np.isnan(rows), centre, rows)
-        at = np.zeros(len(rows), dtype="int64")
-        for level in range(depth):
-            node = (1 << level) - 1 + at
-            at = 2 * at + (rows[np.arange(len(rows)), axis[node]] >= cut[node])
-        return pd.Series(at.astype("int32"))
+        return pd.Series(_leaves(rows, axis, cut, centre))
     return leaf
 
 
+def _leaves(rows: np.ndarray, axis: np.ndarray, cut: np.ndarray, centre: np.ndarray) -> np.ndarray:
+    """The leaf each row falls into, going down the splits level by level."""
+    rows = np.where(np.isnan(rows), centre, rows)
+    at = np.zeros(len(rows), dtype="int64")
+    for level in range(int(math.log2(len(axis) + 1))):
+        node = (1 << level) - 1 + at
+        at = 2 * at + (rows[np.arange(len(rows)), axis[node]] >= cut[node])
+    return at.astype("int32")
+
+
 def _box_distance(queries: np.ndarray, targets: np.ndarray, boxes: dict):
     """Smallest possible distance of each query to each cell; inf if the cell
     cannot serve the query.
@@ -183,7 +239,7 @@ def _box_distance(queries: np.ndarray, targets: np.ndarray, boxes: dict):
     dims = queries.shape[1]
     acc = np.zeros((len(queries), len(boxes["n"])))
     shared = np.zeros_like(acc)
-    mixed = boxes["pattern"] < 0
+    mixed = boxes["mixed"]
     for i in range(dims):
         q = queries[:, i][:, None]
         gap = np.maximum(np.maximum(boxes["lo"][:, i] - q, q - boxes["hi"][:, i]), 0.0)
@@ -192,23 +248,33 @@ def _box_distance(queries: np.ndarray, targets: np.ndarray, boxes: dict):
         shared += both
     with np.errstate(divide="ignore", invalid="ignore"):
         near = np.where(shared > 0, acc * (dims / shared), np.inf)
-    bit = np.where(targets < 0, 0, np.left_shift(np.int64(1), np.maximum(targets, 0)))
-    lacks = (bit[:, None] & ~boxes["pattern"][None, :]) != 0
+    lacks = (targets >= 0)[:, None] & ~boxes["has"].T[np.maximum(targets, 0)]
     near[lacks & ~mixed[None, :]] = np.inf
     own = np.maximum(1, (~np.isnan(queries)).sum(axis=1))
     near[:, mixed] = acc[:, mixed] * (dims / own)[:, None]
     return near, mixed
 
 
+def _choose(near: np.ndarray, counts: np.ndarray, k: int):
+    """Cells by distance: their order, which can serve the query, and which are home, the
+    nearest that hold k rows by ``counts``."""
+    order = np.argsort(near, axis=1, kind="stable")
+    usable = np.isfinite(np.take_along_axis(near, order, 1))
+    held = counts[order] * usable
+    return order, usable, usable & (np.cumsum(held, axis=1) - held < k)
+
+
 def _visits(index: DonorIndex, first: bool, query_type: str):
     """Rows to send where: each query once per cell it has to search.
 
     First round: the nearest cells that surely hold k usable donors. Second
-    round: the cells not seen yet that the bound (``reach``) does not rule out.
+    round: the cells the bound (``reach``) does not rule out and that are not
+    home, or that are home but were searched in part.
     """
     dims, k, boxes = index.dims, index.k, index.boxes
     xs = _xs(dims)
-    names = np.array([f"{p}:{leaf}" for p, leaf in zip(boxes["pattern"], boxes["leaf"])])
+    names = boxes["name"]
+    again = index.inner is not None
     step = max(1, 4_000_000 // max(1, len(names)))
 
     def plan(batches):
@@ -217,26 +283,68 @@ def _visits(index: DonorIndex, first: bool, query_type: str):
                 part = batch.iloc[start:start + step]
                 q = part[xs].to_numpy(dtype="float64", na_value=np.nan)
                 near, mixed = _box_distance(q, part["target"].to_numpy(), boxes)
-                order = np.argsort(near, axis=1, kind="stable")
-                usable = np.isfinite(np.take_along_axis(near, order, 1))
-                counts = np.where(mixed, 0, boxes["n"])[order] * usable
-                before = np.cumsum(counts, axis=1) - counts
-                home = usable & (before < k)
-                if first:
-                    take = home
-                else:
+                order, usable, home = _choose(near, np.where(mixed, 0, boxes["n"]), k)
+                take = home
+                if not first:
                     reach = part["reach"].to_numpy(dtype="float64", na_value=np.inf)
-                    take = usable & ~home & \
-                        (np.take_along_axis(near, order, 1) <= reach[:, None])
+                    inside = usable & (np.take_along_axis(near, order, 1) <= reach[:, None])
+                    take = inside if again else inside & ~home
                 row, col = np.nonzero(take)
                 out = part.iloc[row][["query_key", "target", *xs]].reset_index(drop=True)
-                out["cell"] = names[order[row, col]]
+                out["reach"] = part["reach"].to_numpy()[row] if not first else np.inf
+                out["cell"], out["home"] = names[order[row, col]], home[row, col]
                 yield out
     schema = f"query_key {query_type}, target int, " + \
-        ", ".join(f"{x} double" for x in xs) + ", cell string"
+        ", ".join(f"{x} double" for x in xs) + ", reach double, cell string, home boolean"
     return plan, schema
 
 
+def _inner_visits(index: DonorIndex, visits: DataFrame, first: bool) -> DataFrame:
+    """Visits with the inner cells to search; cells that are not cut have the one.
+
+    In the first round the nearest inner cells of a home cell that hold k rows, in the
+    second those within reach that the first has not seen.
+    """
+    dims, k, xs = index.dims, index.k, _xs(index.dims)
+    spark = visits.sparkSession
+    cells = index.inner.select("cell").distinct()                              # outer cells
+    asked = visits.join(F.broadcast(cells), "cell", "left_semi").groupBy("cell").agg(
+        F.ceil(F.count("*") / F.lit(CHUNK_ROWS)).cast("int").alias("chunks"))
+    asked = F.broadcast(spark.createDataFrame(asked.collect(), asked.schema))  # at most MAX_CELLS rows
+    dealt = visits.join(asked, "cell").withColumn("chunk", F.pmod(F.xxhash64("query_key"), F.col("chunks")).cast("int")) \
+        .select(*visits.columns, "chunk")
+    boxes = index.inner.join(asked, "cell").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))) \
+        .drop("chunks")
+    columns = ["query_key", "target", *xs, "cell"]
+
+    def plan(queries: pd.DataFrame, subs: pd.DataFrame) -> pd.DataFrame:
+        subs = subs.sort_values("sub", kind="stable")
+        held = _boxes(subs["cell"].tolist(), subs["n"].tolist(), [[_nan(v) for v in r] for r in subs["lo"]],
+                      [[_nan(v) for v in r] for r in subs["hi"]], subs["all"].tolist(), dims)
+        number, found = subs["sub"].to_numpy(), []
+        step = max(1, 4_000_000 // max(1, len(subs)))
+        for start in range(0, len(queries), step):
+            part = queries.iloc[start:start + step]
+            q = part[xs].to_numpy(dtype="float64", na_value=np.nan)
+            near, _ = _box_distance(q, part["target"].to_numpy(), held)
+            order, usable, nearest = _choose(near, held["n"], k)
+            nearest &= part["home"].to_numpy(dtype=bool)[:, None]
+            if first:
+                take = nearest
+            else:
+                reach = part["reach"].to_numpy(dtype="float64", na_value=np.inf)
+                take = usable & ~nearest & (np.take_along_axis(near, order, 1) <= reach[:, None])
+            row, col = np.nonzero(take)
+            found.append(part.iloc[row][columns].assign(sub=number[order[row, col]]))
+        return pd.concat(found) if found else pd.DataFrame({c: [] for c in [*columns, "sub"]})
+    layout = T.StructType([*(visits.schema[c] for c in columns), T.StructField("sub", T.IntegerType())])
+    cut = dealt.groupBy("cell", "chunk").cogroup(boxes.groupBy("cell", "chunk")).applyInPandas(plan, layout)
+    rest = visits.join(F.broadcast(cells), "cell", "left_anti")
+    if not first:
+        rest = rest.where(~F.col("home"))
+    return cut.unionByName(rest.select(*columns, F.lit(0).alias("sub")))
+
+
 def _best_donors(k: int, dims: int):
     """The k best donors of each query within one group."""
     xs = _xs(dims)
@@ -292,36 +400,51 @@ def _best_donors(k: int, dims: int):
     return search
 
 
+def _chunked_outer(index: DonorIndex, visits: DataFrame):
+    """Both sides with their chunks, and how many groups; the cells are bounded in number."""
+    asked = visits.groupBy("cell").count().collect()
+    held = dict(zip(index.boxes["name"], index.boxes["n"].tolist()))
+    shape = {r["cell"]: (math.ceil(held[r["cell"]] / CHUNK_ROWS), math.ceil(r["count"] / CHUNK_ROWS)) for r in asked}
+    groups = sum(d * q for d, q in shape.values())
+    if all(s == (1, 1) for s in shape.values()):
+        one = {"dc": F.lit(0), "qc": F.lit(0)}
+        return visits.withColumns(one), index.donors.withColumns(one), groups
+    rows = [(c, 0, d, q) for c, (d, q) in shape.items()]
+    plan = F.broadcast(visits.sparkSession.createDataFrame(rows, "cell string, sub int, ndc int, nqc int"))
+    return *_dealt(visits, index.donors, plan), groups
+
+
+def _chunked(visits: DataFrame, donors: DataFrame):
+    """The same for inner cells, whose number grows with the donors: their sizes are a table."""
+    rows = [F.ceil(F.count("*") / F.lit(CHUNK_ROWS)).cast("int").alias(n) for n in ("nqc", "ndc")]
+    plan = stored(visits.groupBy("cell", "sub").agg(rows[0]).join(
+        donors.groupBy("cell", "sub").agg(rows[1]), ["cell", "sub"]), "inner-chunks")
+    groups = plan.agg(F.sum(F.col("ndc") * F.col("nqc")).alias("n")).first()["n"] or 0
+    return *_dealt(visits, donors, plan), groups
+
+
+def _dealt(visits: DataFrame, donors: DataFrame, plan: DataFrame):
+    cell = ["cell", "sub"]
+    sent = (visits.join(plan, cell)
+            .withColumn("qc", F.pmod(F.xxhash64("query_key"), F.col("nqc")).cast("int"))
+            .withColumn("dc", F.explode(F.sequence(F.lit(0), F.col("ndc") - 1))).drop("ndc", "nqc"))
+    held = (donors.join(plan, cell)
+            .withColumn("dc", F.pmod(F.xxhash64("donor_key"), F.col("ndc")).cast("int"))
+            .withColumn("qc", F.explode(F.sequence(F.lit(0), F.col("nqc") - 1))).drop("ndc", "nqc"))
+    return sent, held
+
+
 def _round(index: DonorIndex, queries: DataFrame, first: bool) -> DataFrame:
     xs, k = _xs(index.dims), index.k
     query_type = queries.schema["query_key"].dataType
     donor_type = index.donors.schema["donor_key"].dataType
     plan, schema = _visits(index, first, query_type.simpleString())
     visits = stored(queries.mapInPandas(plan, schema), "visits")
-    asked = visits.groupBy("cell").count().collect()    # cells of the index, so bounded
-    held = {f"{p}:{leaf}": int(n) for p, leaf, n in
-            zip(index.boxes["pattern"], index.boxes["leaf"], index.boxes["n"])}
-
-    def chunks(rows):
-        return max(1, math.ceil(rows / CHUNK_ROWS))
-
-    shape = {r["cell"]: (chunks(held[r["cell"]]), chunks(r["count"])) for r in asked}
-    lone = all(s == (1, 1) for s in shape.values())
-    if lone:
-        sent = visits.withColumn("dc", F.lit(0)).withColumn("qc", F.lit(0))
-        donors = index.donors.withColumn("dc", F.lit(0)).withColumn("qc", F.lit(0))
+    if index.inner is not None:
+        visits = stored(_inner_visits(index, visits, first), "inner-visits")
+        sent, donors, groups = _chunked(visits, index.donors)
     else:
-        plan_rows = queries.sparkSession.createDataFrame(
-            [(c, d, q) for c, (d, q) in shape.items()], "cell string, ndc int, nqc int")
-        small = F.broadcast(plan_rows)      # one row per cell, at most MAX_CELLS
-        sent = (visits.join(small, "cell")
-                .withColumn("qc", F.pmod(F.xxhash64("query_key"), F.col("nqc")).cast("int"))
-                .withColumn("dc", F.explode(F.sequence(F.lit(0), F.col("ndc") - 1)))
-                .drop("ndc", "nqc"))
-        donors = (index.donors.join(small, "cell")
-                  .withColumn("dc", F.pmod(F.xxhash64("donor_key"), F.col("ndc")).cast("int"))
-                  .withColumn("qc", F.explode(F.sequence(F.lit(0), F.col("nqc") - 1)))
-                  .drop("ndc", "nqc"))
+        sent, donors, groups = _chunked_outer(index, visits.drop("reach", "home").withColumn("sub", F.lit(0)))
     out = T.StructType([T.StructField("query_key", query_type),
                         T.StructField("target", T.IntegerType()),
                         T.StructField("donor_key", donor_type),
@@ -331,9 +454,8 @@ def _round(index: DonorIndex, queries: DataFrame, first: bool) -> DataFrame:
     # the work of a group is far larger than its bytes, so the groups are not
     # packed by size: one task each, or a few where there are many
     cores = queries.sparkSession.sparkContext.defaultParallelism
-    groups = sum(d * q for d, q in shape.values())
     parts = max(1, min(groups, max(4 * cores, groups // 8)))
-    group = ["cell", "dc", "qc"]
+    group = ["cell", "sub", "dc", "qc"]
     sent, donors = sent.repartition(parts, *group), donors.repartition(parts, *group)
     return (sent.groupBy(*group).cogroup(donors.groupBy(*group))
             .applyInPandas(lambda q, d: search(q, d), out))
@@ -363,7 +485,7 @@ def knn(index: DonorIndex, df: DataFrame, key: str, cols: Sequence[str],
                         *(_clean(F.col(c)).alias(x) for c, x in zip(cols, xs)))
     want = index.k - 1 if drop_self else index.k
     found = _round(index, queries, first=True)
-    if len(index.boxes["n"]) > 1:
+    if len(index.boxes["n"]) > 1 or index.inner is not None:
         found = stored(found, "near")
         bound = _top(found, index.k).groupBy("query_key", "target").agg(
             F.max("dist2").alias("far"), F.count("*").alias("n"))

@@ -37,6 +37,22 @@ def test_self_neighbours_equal_brute_force(spark, monkeypatch, chunk):
     assert {i: [v[r] for r in range(1, 6)] for i, v in got.items()} == want
 
 
+@pytest.mark.parametrize("chunk, most", [(16_384, 1), (16_384, 8), (30, 2)])
+def test_inner_cells_keep_the_answers(spark, monkeypatch, chunk, most):
+    """However few the outer cells, the inner ones are as small as asked for."""
+    monkeypatch.setattr(neighbors, "CHUNK_ROWS", chunk)
+    monkeypatch.setattr(neighbors, "MAX_CELLS", most)
+    monkeypatch.setattr(neighbors, "INNER_SAMPLE", 64)
+    df, x = cloud(spark)
+    index = build_index(df, "id", ["a", "b", "c"], 6, cell_rows=8)
+    sizes = [r["n"] for r in index.inner.collect()]
+    assert len(index.boxes["n"]) <= most and len(sizes) > 2 * len(index.boxes["n"]) and max(sizes) < 32
+    got = {}
+    for r in knn(index, df, "id", ["a", "b", "c"], drop_self=True).collect():
+        got.setdefault(r["query_key"], {})[r["rank"]] = r["donor_key"]
+    assert {i: [v[r] for r in range(1, 6)] for i, v in got.items()} == brute_neighbours(x, 5)
+
+
 def test_balance_reaches_equality_between_neighbours(spark):
     df, x = cloud(spark, copies=1)
     made = augment.smote_balance(df, "id", ["a", "b", "c"], "y")

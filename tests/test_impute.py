@@ -80,7 +80,7 @@ def brute_knn(train, rows_, k):
     return np.array(out)
 
 
-@pytest.mark.parametrize("chunk, cells", [(16_384, 4_096), (7, 4_096), (16_384, 8), (7, 8)])
+@pytest.mark.parametrize("chunk, cells", [(16_384, 4_096), (7, 4_096), (16_384, 8), (7, 8), (16_384, 1), (7, 2)])
 def test_knn_equals_brute_force(spark, monkeypatch, chunk, cells):
     from riskframe.operators import neighbors
     monkeypatch.setattr(neighbors, "CHUNK_ROWS", chunk)
@@ -98,6 +98,17 @@ def test_knn_equals_brute_force(spark, monkeypatch, chunk, cells):
     assert got == pytest.approx(brute_knn(data, data, 5), abs=1e-9)
 
 
+def test_knn_over_many_coordinates(spark):
+    rng = np.random.default_rng(4)
+    data = rng.normal(size=(60, 70)).round(2)
+    data[rng.random(data.shape) < 0.05] = np.nan
+    names = [f"c{i}" for i in range(70)]
+    given = [(i, *[None if math.isnan(v) else float(v) for v in r]) for i, r in enumerate(data)]
+    df = spark.createDataFrame(given, "id long, " + ", ".join(f"{c} double" for c in names))
+    out = impute.KnnImputer(tuple(names), "id", k=3).fit(df).transform(df)
+    assert np.array(sorted(rows(out)))[:, 1:] == pytest.approx(brute_knn(data, data, 3), abs=1e-9)
+
+
 def test_knn_applies_to_unseen_rows_and_drops_empty(spark):
     train = spark.createDataFrame([(1, 0.0, 1.0, None), (2, 1.0, 3.0, None), (3, 9.0, 50.0, None)],
                                   "id long, a double, b double, c double")
