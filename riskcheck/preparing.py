@@ -13,7 +13,7 @@ from riskcheck.registry import (EVENTS_RAW, LABELLED_DOCS, MESSY_EVENTS, RISK_EV
 from riskframe.operators.dictionary import fit_dictionary
 from riskframe.operators import clean, features, impute
 from riskframe.plans import Preparation
-from riskframe.sources import conform, frame_from_records, read_table, scratch_path, trim_headers, write_table
+from riskframe.sources import conform, frame_from_records, read_table, replace_table, scratch_path, trim_headers, write_table
 from riskframe.spec import DatasetSpec
 
 # ---- sources --------------------------------------------------------------------------------
@@ -39,6 +39,15 @@ def _(spark, sf):
     return read_table(spark, path, fmt="parquet")
 
 
+@query("a5_replace_input", f"""WITH {RISK_EVENTS}
+SELECT event_id, y, value * 2 AS value, k, event_type FROM risk WHERE k IS NOT NULL""")
+def _(spark, sf):
+    """A table that is read, changed and written over itself."""
+    path = write_table(risk_events(spark, sf), scratch_path(spark, "risk"))
+    known = read_table(spark, path, fmt="parquet").where("k is not null")
+    return read_table(spark, replace_table(known.withColumn("value", F.col("value") * 2), path), fmt="parquet")
+
+
 @query("a8_frame_from_records", """SELECT n_nationkey, n_name, CAST(n_regionkey AS DOUBLE) AS n_regionkey,
   CAST(NULL AS VARCHAR) AS absent FROM nation""")
 def _(spark, sf):

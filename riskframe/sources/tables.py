@@ -56,7 +56,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     """Write ``df`` to ``path``, replacing what is there.
 
     Refuses to overwrite a folder the same plan reads from: Spark would delete
-    the input before reading it.
+    the input before reading it. ``replace_table`` can do that.
     """
     target = _plain(path)
     for source in df.inputFiles():
