@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from riskframe.functions.columns import known
 from riskframe.sources.tables import stored
 
-#: Training rows of one partition; also Spark ML's models are fitted on such partitions.
+#: Training rows of one partition.
 ROWS_EACH = 200_000
 #: Rows of one block of codes, and rounds after which the rows' margins are written anew.
 BLOCK, KEEP = 65_536, 20

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.columns import known
-from riskframe.operators.boosting import BoostingParams, partitions_for
+from riskframe.operators.boosting import BoostingParams
 from riskframe.operators.clean import MAX_CLASSES
 from riskframe.operators.evaluate import auc, evaluate
 from riskframe.operators.features import assembler, check_cardinality, encoder, indexer
@@ -64,6 +64,12 @@ def build_stages(numeric: Sequence[str], categorical: Sequence[str], label: str,
     return Pipeline(stages=[*stages, classifier])
 
 
+def training_partitions(rows: int) -> int:
+    """Partitions of a training table, by its counted rows alone, never by cores: one for
+    every 10,000 rows, from 64 partitions on one for every 200,000."""
+    return max(1, min(64, -(-rows // 10_000)), -(-rows // 200_000))
+
+
 def fit_model(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str,
               algo: str = "lr", params: Mapping | None = None,
               weight: str | None = "_class_weight", scale_encoded: bool = False,
@@ -74,13 +80,13 @@ def fit_model(train: DataFrame, numeric: Sequence[str], categorical: Sequence[st
     Training passes over the rows many times, so they are stored once, only the
     columns in use. With ``key`` they are dealt to ``partitions`` by its hash and
     sorted: row samples depend on both, so a seed then gives the same model on any
-    number of cores. ``partitions`` follows the counted rows, one for every 200,000.
+    number of cores. ``partitions`` follows the counted rows, see ``training_partitions``.
     """
     check_cardinality(train, categorical, most)
     used = [*numeric, *categorical, label, *([weight] if weight else [])]
     if key:
         rows = stored(train.select(key, *(c for c in used if c != key)), "training")
-        parts = partitions or partitions_for(rows.count())
+        parts = partitions or training_partitions(rows.count())
         rows = rows.repartition(parts, key).sortWithinPartitions(key)
     else:
         rows = stored(train.select(*used), "training")

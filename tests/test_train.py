@@ -7,6 +7,7 @@ from riskframe import DIABETES, DatasetSpec
 from riskframe.functions import normal
 from riskframe.plans import (Preparation, build_stages, feature_importance, fit_model, score,
                              train_and_evaluate)
+from riskframe.plans.train import training_partitions
 from riskframe.sources import load_model, save_model, scratch_path
 from conftest import rows
 
@@ -110,6 +111,10 @@ def test_a_seed_gives_one_model_whatever_the_partitions(spark):
     assert both[0] == both[1]
 
 
+def test_partitions_follow_the_rows():
+    assert [training_partitions(n) for n in (0, 8_000, 80_114, 10**6, 10**8, 10**12)] == [1, 1, 9, 64, 500, 5_000_000]
+
+
 def test_a_row_scores_alike_in_the_batch_and_alone(spark):
     df = Preparation(SPEC).fit(patients(spark)).transform(patients(spark))
     model = fit_model(df, ["age", "chol", "ca"], ["sex"], "num", "lr", {"maxIter": 20}, key="id")
