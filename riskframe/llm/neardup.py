@@ -186,7 +186,7 @@ def _of_one_hub(members: DataFrame, threshold: float) -> DataFrame:
     """Pairs (a, b) of ``members`` (key, hub, component, linked, n, outside, missing) with the
     same hub and different components that could be similar enough; see above."""
     ratio = (1 - threshold) / (1 + threshold)
-    sized = members.withColumns({"p": F.size("outside"), "m": F.size("missing")})
+    sized = stored(members.withColumns({"p": F.size("outside"), "m": F.size("missing")}), "members")
     many = sized.where("not linked").groupBy("hub").agg((F.count("*") * OFTEN).alias("many"))
     common = (sized.where("not linked").select("hub", F.explode("outside").alias("one"))
               .groupBy("hub", "one").agg(F.count("*").alias("times")).join(many, "hub").where("times > many")
@@ -194,6 +194,7 @@ def _of_one_hub(members: DataFrame, threshold: float) -> DataFrame:
     sized = (sized.join(common, "hub", "left").withColumn("common", F.coalesce("common", F.expr("array()").cast("array<bigint>")))
              .withColumns({"c": F.size(F.array_intersect("outside", "common")),
                            "every": F.col("outside"), "outside": F.array_except("outside", "common")}).drop("common"))
+    sized = stored(sized, "sized")  # read seven times below
     named = ("key", "component", "linked", "n", "p", "m", "c")
 
     def postings(df: DataFrame, of: str, side: str) -> DataFrame:
@@ -213,11 +214,12 @@ def _of_one_hub(members: DataFrame, threshold: float) -> DataFrame:
         apart).unionByName(near.where(F.col("component_a") != F.col("component_b"))).where(
         (missing + F.least("p_a", "p_b") >= least)).select("key_a", "key_b")
     lost = postings(loose, "missing", "a")
-    often = lost.groupBy("hub", "one").agg(F.count("*").alias("often"))
+    often = stored(lost.groupBy("hub", "one").agg(F.count("*").alias("often")), "often")
     rarest = Window.partitionBy("key_b").orderBy(F.coalesce("often", F.lit(0)), "one")
     prefix = (postings(sized, "missing", "b").where(need.between(1, F.col("m_b"))).join(often, ["hub", "one"], "left")
               .withColumn("_nth", F.row_number().over(rarest)).where(F.col("_nth") <= F.col("m_b") - need + 1))
     either = F.col("component_a") != F.col("component_b")  # the prefixes of a and b differ, so both orders
+    prefix = stored(prefix, "prefix")
     alike = lost.join(prefix, ["hub", "one"]).where(either & (missing + F.least("c_a", "c_b") >= least)).select("key_a", "key_b")
     return sharing.unionByName(alike).select(F.least("key_a", "key_b").alias("a"),
                                              F.greatest("key_a", "key_b").alias("b")).distinct()
@@ -242,7 +244,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shin
     crowded = stored(rows.groupBy("band", "value").agg(F.count("*").alias("size")).where("size > 1"), "crowded")
     shared = stored(rows.join(crowded, ["band", "value"]), "shared")
     # the member that shares most bands with others leads its groups
-    degree = shared.groupBy("key").agg(F.sum("size").alias("degree"))
+    degree = stored(shared.groupBy("key").agg(F.sum("size").alias("degree")), "degree")
     leads = (shared.join(degree, "key").groupBy("band", "value")
              .agg(F.max_by(F.col("key"), F.struct("degree", "key")).alias("lead")))
     stars = (shared.join(leads, ["band", "value"]).where("key <> lead")
@@ -258,33 +260,32 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shin
     others = stored(_confirmed(best.join(hubs, ["a", "b"], "left_anti"), texts, threshold, shingle)
                     .where("linked").select("a", "b"), "stars")
     links = told.where("linked").select("a", "b").unionByName(others)
-    groups = components(links)
+    first = components(links)
     # what the stars left in different components, though in one band
-    placed = shared.join(groups, shared["key"] == groups["node"], "left").select(
-        "band", "value", "key", F.coalesce("component", "key").alias("component"))
+    placed = stored(shared.join(first, shared["key"] == first["node"], "left").select(
+        "band", "value", "key", F.coalesce("component", "key").alias("component")), "placed")
     open_ones = placed.groupBy("band", "value").agg(F.min("component").alias("low"), F.max("component").alias("high")) \
         .where("low <> high").select("band", "value")
     placed = stored(placed.join(open_ones, ["band", "value"]), "unsettled")
     # hubs that meet in a band give way to the most connected one, so a family has one hub
-    hubbed = placed.join(told.select(F.col("a").alias("key"), F.col("b").alias("hub")), "key").select(
+    hubbed = stored(placed.join(told.select(F.col("a").alias("key"), F.col("b").alias("hub")), "key").select(
         "band", "value", "hub").distinct().join(
-        degree.select(F.col("key").alias("hub"), "degree"), "hub")
-    left, right = (hubbed.select("band", "value", F.col("hub").alias(k), F.struct("degree", "hub").alias(f"rank_{k}"))
-                   for k in "ab")
-    met = left.join(right, ["band", "value"]).where("rank_a < rank_b").select("a", "b").distinct()
+        degree.select(F.col("key").alias("hub"), "degree"), "hub"), "hubbed")
+    top = hubbed.groupBy("band", "value").agg(F.max_by("hub", F.struct("degree", "hub")).alias("b"))
+    met = hubbed.join(top, ["band", "value"]).where("hub <> b").select(F.col("hub").alias("a"), "b").distinct()
     up = stored(_estimated(met, nodes, threshold, HUB).join(degree.select(F.col("key").alias("b"), "degree"), "b")
                 .groupBy("a").agg(F.max_by("b", F.struct("degree", "b")).alias("_next")), "up")
     tops = told.select("a", F.col("b").alias("top")).unionByName(
         up.join(told, "a", "left_anti").select("a", F.col("a").alias("top")))
     for _ in range(3):
-        tops = stored(tops.join(up.withColumnRenamed("a", "top"), "top", "left")
-                      .select("a", F.coalesce("_next", "top").alias("top")), "tops")
+        tops = tops.join(up.withColumnRenamed("a", "top"), "top", "left").select(
+            "a", F.coalesce("_next", "top").alias("top"))
+    tops = stored(tops, "tops")
     moved = (tops.join(told.select("a", "b"), "a", "left").where("top <> a and (b is null or top <> b)")
              .join(placed.select(F.col("key").alias("a")).distinct(), "a", "left_semi")
              .select("a", F.col("top").alias("b")))
     moved = stored(_confirmed(moved, texts, threshold, shingle), "moved")
     told = told.join(moved.select("a"), "a", "left_anti").unionByName(moved)
-    links = links.unionByName(moved.where("linked").select("a", "b"))
     placed = placed.join(told.select(F.col("a").alias("key"), F.col("b").alias("_hub")), "key", "left")
     placed = stored(placed.select("band", "value", "key", "component", F.coalesce("_hub", "key").alias("hub")), "open")
     left, right = (placed.select("band", "value", *(F.col(c).alias(f"{c}_{k}") for c in ("component", "hub")),
@@ -293,13 +294,18 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shin
         "component_a < component_b and hub_a <> hub_b").select("a", "b")
     members = placed.select("key", "component").distinct().join(
         told.select(F.col("a").alias("key"), F.col("b").alias("hub"), "linked", "n", "outside", "missing"), "key")
-    pairs = apart.unionByName(_of_one_hub(members, threshold)).distinct()
+    pairs = stored(apart.unionByName(_of_one_hub(members, threshold)).distinct(), "proposed")
     hopeful = _estimated(pairs, nodes, threshold).where("hope")
     more = stored(_confirmed(hopeful, texts, threshold, shingle).where("linked").select("a", "b"), "pairs")
-    groups = components(links.unionByName(more))
+    # only components are still to be joined, few against the links there are
+    late = more.unionByName(moved.where("linked").select("a", "b"))
+    for end in "ab":
+        late = late.join(first.select(F.col("node").alias(end), F.col("component").alias("_to")), end, "left").withColumn(
+            end, F.coalesce("_to", end)).drop("_to")
+    second = components(late.select("a", "b")).select(F.col("node").alias("component"), F.col("component").alias("_last"))
     named = nodes.select("set_a", "set_b", F.col("key").alias("_node")).join(
-        groups, F.col("_node") == F.col("node"), "left").select(
-        "set_a", "set_b", F.coalesce("component", "_node").alias("_component"))
+        first, F.col("_node") == F.col("node"), "left").withColumn("component", F.coalesce("component", "_node")).join(
+        second, "component", "left").select("set_a", "set_b", F.coalesce("_last", "component").alias("_component"))
     row = sketched.join(named.withColumn("_some", F.lit(True)), ["set_a", "set_b"], "left")
     component = F.when(F.col("key").isNotNull(), F.when(F.col("n_shingles") > 0, F.col("_component")).otherwise(F.col("key")))
     return row.select(F.col("key").alias(key), "n_shingles", component.alias("component"),
