@@ -184,6 +184,15 @@ def plan_bins(histogram: Mapping[int, int], capacity: int) -> list[tuple[Config,
     if counts[capacity]:
         plan.append((((capacity, 1),), int(counts[capacity])))
         counts[capacity] = 0
+    plans = [_rounded(counts, capacity, full_only) for full_only in (True, False)]
+    plans.append(_best_fit(counts.copy(), capacity))
+    return plan + min(plans, key=lambda p: sum(bins for _, bins in p))  # the program's, unless it needs more
+
+
+def _rounded(counts: np.ndarray, capacity: int, full_only: bool) -> list[tuple[Config, int]]:
+    """The program's plan, its bins rounded down and the rest packed best fit. ``full_only``
+    takes no configuration with room left, which pays while the choice is wide."""
+    plan: list[tuple[Config, int]] = []
     sizes = np.arange(capacity + 1)
     volume = float(counts @ sizes) / capacity
     covered = np.zeros(capacity + 1)
@@ -199,8 +208,8 @@ def plan_bins(histogram: Mapping[int, int], capacity: int) -> list[tuple[Config,
             config = _configuration(items, last, int(must), capacity)
             room = min((counts[n] - covered[n]) / k for n, k in config)
             bins = min(room, max(left / max(1, CONFIGURATIONS_EACH - placed), min(1.0, left)))
-            if bins <= 1e-9 or (volume > 100 and sum(n * k for n, k in config) < capacity):
-                continue  # while choice is wide, a bin with room left is no bargain
+            if bins <= 1e-9 or (full_only and sum(n * k for n, k in config) < capacity):
+                continue
             wanted[config] = wanted.get(config, 0.0) + bins
             for n, k in config:
                 covered[n] += bins * k

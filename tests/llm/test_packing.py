@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 import pytest
 
-from riskframe.llm.packing import Encoder, pack_documents, plan_bins
+from riskframe.llm.packing import Encoder, _best_fit, pack_documents, plan_bins
 
 P = pytest.importorskip("public_tokenizers")
 
@@ -37,6 +37,17 @@ def test_plan_holds_every_piece_and_wastes_little(seed):
     assert sum(b for _, b in plan) <= -(-lengths.sum() // 512) * 1.01 + 1
 
 
+@pytest.mark.parametrize("seed", range(5))
+@pytest.mark.parametrize("pieces", [40, 900, 60_000])
+def test_plan_never_needs_more_than_best_fit(seed, pieces):
+    rng = np.random.default_rng(100 + seed)
+    lengths = np.minimum(2048, rng.lognormal(5.5, 0.4 + 0.2 * seed, pieces).astype(int) + 1)
+    counts = np.bincount(lengths, minlength=2049)
+    plan = plan_bins({int(n): int(counts[n]) for n in np.flatnonzero(counts)}, 2048)
+    needed = sum(b for _, b in plan)
+    assert -(-lengths.sum() // 2048) <= needed <= sum(b for _, b in _best_fit(counts.copy(), 2048))
+
+
 def test_plan_edges():
     assert plan_bins({}, 8) == []
     assert sum(b for _, b in plan_bins({8: 3, 5: 2, 3: 2}, 8)) == 5
