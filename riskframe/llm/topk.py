@@ -146,11 +146,13 @@ def top_inner_products(queries: DataFrame, data: DataFrame, key: str, vector: st
 
     Ties go to the smaller id, a row is no candidate for its own id, and queries
     with fewer than k candidates return them all. Ids must be whole numbers; rows
-    with a null id or an unusable vector take no part. Scores must stay below 2**53.
+    with a null id or an unusable vector take no part. Of repeated ids the row with
+    the smallest vector, compared component by component, stays; the others take no
+    part, as queries and as candidates. Scores must stay below 2**53.
     """
     spark = data.sparkSession
-    points = whole_vectors(data, key, vector, scale)
-    asked = whole_vectors(queries, key, vector, scale)
+    points, asked = (stored(whole_vectors(df, key, vector, scale).groupBy("id").agg(F.min("vec").alias("vec")), name)
+                     for df, name in ((data, "topk-points"), (queries, "topk-asked")))
     shape = points.agg(F.max(F.size("vec")).alias("w"), F.count("*").alias("n")).first()
     asked_shape = asked.agg(F.max(F.size("vec")).alias("w"), F.count("*").alias("n")).first()
     out = "query_id long, rank int, id long, score long"
