@@ -35,7 +35,9 @@ WEAK = {
 }
 KINDS = [*BASE, *WEAK]
 #: What a text must contain for a pattern to be tried.
-NEEDS = {"email": "@", "phone": "+", "spelled": "at"}
+NEEDS = {"email": "@", "phone": "+"}
+#: The same as a pattern, where one is needed.
+ASKED = {"name": r"\.? \p{Lu}", "spelled": r"[\[(](?:at|AT)[\])]"}
 #: Gazetteer of mail and site endings, and given names.
 ENDINGS = "com|org|net|edu|gov|io|de|fr|es|uk|eu"
 NAMES = "Anna|Maria|Peter|Hans|Jean|Marie|Pierre|Juan|Jose|Carlos|John|Mary|James|David|Paul|Laura"
@@ -93,7 +95,7 @@ def _of_kind(text: Column, kind: str) -> Column:
         s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("order"), s["end"].alias("end"),
         F.lit(kind).alias("kind"), s["hit"].alias("hit")))
     tried = F.contains(text, F.lit(NEEDS[kind])) if kind in NEEDS else (
-        text.rlike(r"\.? \p{Lu}") if kind == "name" else text.rlike("[0-9]"))
+        text.rlike(ASKED.get(kind, "[0-9]")))
     return F.when(tried, told).otherwise(F.array().cast(
         "array<struct<start:bigint,order:int,end:bigint,kind:string,hit:string>>"))
 
