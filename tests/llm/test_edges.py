@@ -161,3 +161,25 @@ def test_pipeline_stages(spark):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, sf_dir)
         assert empty.count() == 0
+
+
+def test_spelled_addresses_in_capitals_are_candidates(spark):
+    from riskframe.llm.pii import _of_kind
+    texts = ["WRITE JOHN.DOE [AT] EXAMPLE [DOT] COM", "write john.doe (at) example (dot) com", "LATE", "at (a) t", "", None]
+    found = spark.createDataFrame([(t,) for t in texts], "t string").select(_of_kind(F.col("t"), "spelled").alias("s"))
+    assert [len(r["s"]) for r in found.collect()] == [1, 1, 0, 0, 0, 0]
+
+
+def test_top_k_takes_a_repeated_id_once(spark):
+    df = spark.createDataFrame([(0, [2.0, 0.0]), (0, [1.0, 0.0]), (1, [1.0, 1.0]), (1, [1.0, 1.0]), (2, [0.5, 3.0])],
+                               "vec_id long, embedding array<double>")
+    got = top_inner_products(df.where("vec_id = 0"), df, "vec_id", "embedding", 5)
+    assert sorted(tuple(r) for r in got.collect()) == [(0, 1, 1, 65536), (0, 2, 2, 32768)]
+
+
+def test_near_duplicates_take_rows_of_one_key_as_one_document(spark):
+    other = " ".join(f"else{i}" for i in range(80))
+    df = spark.createDataFrame([(1, PROSE), (1, other), (2, other + " tail"), (3, PROSE), (4, "quite different words in here")],
+                               "doc_id long, text string")
+    got = {(r["doc_id"], r["component"]) for r in near_duplicates(df).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (4, 4)}
