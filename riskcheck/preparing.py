@@ -124,6 +124,13 @@ def _(spark, sf):
     return clean.feature_frame(df, "y", ["event_type"], key="event_id")
 
 
+@query("b8_boolean_features", f"""WITH {RISK_EVENTS}
+SELECT event_id, y, value, k, CAST(value > 60 AS INTEGER) AS flag, event_type FROM risk""")
+def _(spark, sf):
+    df = risk_events(spark, sf).withColumn("flag", F.col("value") > 60)
+    return clean.feature_frame(df, "y", ["event_type"], key="event_id", booleans_as_int=True)
+
+
 @query("b9_filter_class", f"WITH {RISK_EVENTS} SELECT * FROM risk WHERE y = 1")
 def _(spark, sf):
     return clean.filter_class(risk_events(spark, sf), "y", 1)

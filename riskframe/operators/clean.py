@@ -103,10 +103,22 @@ def split_feature_columns(df: DataFrame, label: str, categorical: Iterable[str]
     return numeric_columns(df, exclude=skip), present(df, cats)
 
 
+def booleans_to_int(df: DataFrame, exclude: Iterable[str] = ()) -> DataFrame:
+    """Boolean columns as 1 and 0, nulls kept, so that they count as numeric features."""
+    skip = set(exclude)
+    flags = [f.name for f in df.schema if f.dataType.typeName() == "boolean" and f.name not in skip]
+    return df.withColumns({c: F.col(f"`{c}`").cast("int") for c in flags})
+
+
 def feature_frame(df: DataFrame, label: str, categorical: Iterable[str] = (),
-                  key: str | None = None) -> DataFrame:
-    """Key, label, numeric features, categorical features, in this order."""
-    keys = [key] if key else []
+                  key: str | None = None, booleans_as_int: bool = False) -> DataFrame:
+    """Key, label, numeric features, categorical features, in this order.
+
+    Boolean columns are features only with ``booleans_as_int``, as 1 and 0.
+    """
+    keys, categorical = [key] if key else [], list(categorical)
+    if booleans_as_int:
+        df = booleans_to_int(df, exclude=[label, *categorical, *keys])
     numeric, cats = split_feature_columns(df, label, categorical, exclude=keys)
     return df.select(*keys, label, *numeric, *cats)
 

@@ -7,6 +7,7 @@ from itertools import combinations_with_replacement
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskframe.functions.columns import known, value_map
 from riskframe.operators.clean import MAX_CLASSES, class_counts, classes_of, split_feature_columns
@@ -115,10 +116,13 @@ def crosstab(df: DataFrame, col: str, label: str) -> DataFrame:
 
 
 def class_share(df: DataFrame, label: str) -> DataFrame:
-    """Rows and percent of all rows per class."""
-    total = sum(class_counts(df, label).values())
-    return df.groupBy(label).agg(F.count("*").alias("n_rows")).withColumn(
-        "percent", F.col("n_rows") * 100.0 / F.lit(total))
+    """Rows and percent of all rows per class, from one pass over the table; refuses a
+    label with too many values."""
+    counts = class_counts(df, label)
+    total = sum(counts.values())
+    kind = T.StructType([df.select(label).schema[0], T.StructField("n_rows", T.LongType(), False),
+                         T.StructField("percent", T.DoubleType(), True)])
+    return df.sparkSession.createDataFrame([(c, n, n * 100.0 / total) for c, n in counts.items()], kind)
 
 
 def melt(df: DataFrame, numeric: Iterable[str], categorical: Iterable[str],

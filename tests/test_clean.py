@@ -78,3 +78,12 @@ def test_drop_and_filter(spark):
     df = spark.createDataFrame([(1, 2), (0, 3)], "y int, a int")
     assert clean.drop_if_present(df, ["a", "absent"]).columns == ["y"]
     assert rows(clean.filter_class(df, "y", 1)) == [(1, 2)]
+
+
+def test_boolean_features_only_when_asked_for(spark):
+    df = spark.createDataFrame([(1, True, True, 2.0), (2, None, False, None)],
+                               "id long, flag boolean, y boolean, x double")
+    assert clean.feature_frame(df, "y", key="id").columns == ["id", "y", "x"]
+    got = clean.feature_frame(df, "y", key="id", booleans_as_int=True)
+    assert [tuple(r) for r in got.orderBy("id").collect()] == [(1, True, 1, 2.0), (2, False, None, None)]
+    assert got.columns == ["id", "y", "flag", "x"]
