@@ -236,7 +236,7 @@ def _searched(pairs: DataFrame, groups: DataFrame, held: DataFrame, floors: Data
     right = (held.groupBy(F.col("centre").alias("d_centre"), F.col("block").alias("d_block"))
              .agg(packed).withColumnRenamed("rows", "d_rows"))
     met = pairs.select("q_centre", "q_block", "d_centre", "d_block").join(
-        left, ["q_centre", "q_block"]).join(right, ["d_centre", "d_block"])
+        left, ["q_centre", "q_block"]).join(right.hint("merge"), ["d_centre", "d_block"])  # blocks of all data: never broadcast
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
