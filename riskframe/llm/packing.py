@@ -12,7 +12,9 @@ the plan's slots.
 
 from __future__ import annotations
 
+import json
 import math
+import re
 import zlib
 from collections.abc import Iterator, Mapping
 
@@ -30,13 +32,56 @@ ROUNDS, CONFIGURATIONS_EACH, HASTE = 48, 64, 6.0
 
 Config = tuple[tuple[int, int], ...]  # (length, copies), longest first
 
+#: Fixed value: how byte-level tokenizers of this family cut a text before merging.
+CUTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Fixed value: long-settled blocks of Unicode, which both libraries cut alike (tested one by one):
+#: Latin, Cyrillic, punctuation without its spaces, kana, ideographs.
+ALIKE = "\x00-\u024f\u0400-\u0481\u2010-\u2027\u2030-\u205e\u3041-\u3096\u4e00-\u9fa5"
+#: Words and white space of more characters than this go to the tokenizer, whose merges stay
+#: fast at any length.
+LONG = 2000
+
 _encoders: dict[str, Encoder] = {}
 
 
+def fast_merges(path: str):
+    """The same merges in a faster library, and a pattern of what it must not be given.
+
+    (None, None) unless the file is a plain byte-level tokenizer whose ids follow its
+    merges. Tokens that their own bytes do not lead to are left out, since the faster
+    library would look them up whole.
+    """
+    import tiktoken
+    from tokenizers import Tokenizer
+    with open(path, encoding="utf-8") as file:
+        told = json.load(file)
+    model, cut = told["model"], told["pre_tokenizer"] or {}
+    vocab, merges = model.get("vocab"), [m if isinstance(m, list) else m.split(" ") for m in model.get("merges", [])]
+    plain = (model.get("type") == "BPE" and not told["normalizer"] and cut.get("type") == "ByteLevel"
+             and not cut.get("add_prefix_space") and cut.get("use_regex") and not told["post_processor"]
+             and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix",
+                                                "end_of_word_suffix", "ignore_merges")))
+    if not plain or [vocab.get("".join(m)) for m in merges] != sorted(vocab.get("".join(m), -1) for m in merges):
+        return None, None
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes written as themselves, the rest from 256 on
+    spelled = {chr(b): b for b in shown}
+    spelled.update({chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)})
+    added = [a["content"] for a in told["added_tokens"]]
+    own = Tokenizer.from_file(path).model
+    ranks = {bytes(spelled[c] for c in token): i for token, i in vocab.items()
+             if token not in added and [t.id for t in own.tokenize(token)] == [i]}
+    if not all(bytes([b]) in ranks for b in range(256)):
+        return None, None
+    marks = "".join(re.escape(a[0]) for a in added)
+    return (tiktoken.Encoding("merges", pat_str=CUTS, mergeable_ranks=ranks, special_tokens={})._core_bpe,
+            re.compile(f"[^{ALIKE}]" + (f"|[{marks}]" if marks else "")))
+
+
 class Encoder:
-    """Token ids of whole texts, word by word.
+    """Token ids of whole texts.
 
-    The tokenizer never joins characters across a single blank between two
+    Texts of characters in ALIKE, without a sign of an added token or a run over LONG,
+    go through fast_merges. The others are taken word by word: the tokenizer never joins characters across a single blank between two
     non-blank characters, so text between such blanks is encoded once and
     remembered. Texts with other white space around a blank are encoded whole.
     """
@@ -49,6 +94,7 @@ class Encoder:
         self.starts_blank = np.zeros(max(names.values()) + 1, bool)
         self.starts_blank[[i for name, i in names.items() if name.startswith("\u0120")]] = True
         self.after_blank: dict[str, bytes | None] = {}
+        self.fast, self.unlike = fast_merges(path)
 
     @staticmethod
     def at(path: str) -> Encoder:
@@ -56,6 +102,13 @@ class Encoder:
             _encoders[path] = Encoder(path)
         return _encoders[path]
 
+    def _alike(self, text: str) -> bool:
+        if self.fast is None or self.unlike.search(text):
+            return False
+        words = text.split()
+        sizes = [len(w) for w in words]
+        return max(sizes, default=0) <= LONG and len(text) - sum(sizes) - len(words) <= LONG
+
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
@@ -75,6 +128,12 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text."""
+        alike = [self._alike(t) for t in texts]
+        others = self._by_words([t for t, a in zip(texts, alike) if not a])
+        for text, fast in zip(texts, alike):
+            yield np.array(self.fast.encode_ordinary(text), "<u4").tobytes() if fast else next(others)
+
+    def _by_words(self, texts: list[str]) -> Iterator[bytes]:
         known = self.after_blank
         if len(known) > REMEMBERED:
             known.clear()

@@ -1,9 +1,11 @@
+import random
+import re
 import zlib
 
 import numpy as np
 import pytest
 
-from riskframe.llm.packing import Encoder, _best_fit, pack_documents, plan_bins
+from riskframe.llm.packing import ALIKE, LONG, Encoder, _best_fit, pack_documents, plan_bins
 
 P = pytest.importorskip("public_tokenizers")
 
@@ -23,6 +25,24 @@ def test_encoder_equals_tokenizer(tokenizer):
     assert list(encoder.encode(texts[::-1])) == want[::-1]
 
 
+def test_faster_merges_equal_the_tokenizer(tokenizer):
+    encoder = Encoder(P.path("byte_bpe_50k.json"))
+    assert encoder.fast is not None
+    inside = [c for c in map(chr, range(0x10000)) if re.match(f"[{ALIKE}]", c) and c != "<"]
+    assert len(inside) > 20_000
+    texts = [f"a{c}b {c}c {c}{c}1{c}1 {c}\n{c} 's{c}'t  {c}  " for c in inside]
+    rng = random.Random(8)
+    texts += ["".join(rng.choice(pool) for _ in range(rng.randint(1, 300))) for _ in range(400)
+              for pool in ("abcdefghijklmnopqrstuvwxyz  ", " \n\t\x0b\x85\xa0ab1.'s", "".join(rng.sample(inside, 40)))]
+    texts += sorted(tokenizer.get_vocab())[:50_000:7]  # spelled tokens
+    texts += [tokenizer.decode([i]) for i in range(0, 50_256, 5)]
+    texts += ["x" * (LONG + d) + " y" for d in (0, 1)] + ["a" + " " * (LONG + d) + "b" for d in (0, 3)]
+    texts += ["ab " * 40_000, "xyz" * 50_000, " " * 50_000, "a < b", "<|endoftext|>"]
+    want = [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    got = list(encoder.encode(texts))
+    assert [t for t, a, b in zip(texts, got, want) if a != b] == []
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_plan_holds_every_piece_and_wastes_little(seed):
     rng = np.random.default_rng(seed)
