@@ -99,7 +99,7 @@ WITH body AS (
     regexp_replace(regexp_replace(translate(trim(x, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\x0B\f\r]+', ' ', 'g'), '[0-9]', '0', 'g') AS plain,
     length(regexp_replace(x, '[ \t\x0B\f\r]+', '', 'g')) AS chars
-  FROM (SELECT doc_id, host, text, unnest(l) AS x FROM body JOIN line USING (doc_id)) WHERE length(x) <= 200
+  FROM (SELECT doc_id, host, text, unnest(l) AS x FROM body JOIN line USING (doc_id))
 ), frequent AS (
   SELECT host, plain FROM short GROUP BY host, plain HAVING count(DISTINCT text) > 20
 ), lost AS (

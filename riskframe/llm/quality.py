@@ -2,9 +2,9 @@
 
 Lines are normalised and hashed; for each host the distinct texts that hold a line
 are counted, lines above the limit are boilerplate, and a document that loses too
-much of itself to them is rejected; the others lose those lines. Exact copies count as one text, so a page is
-not turned into boilerplate by its own copies, and only short lines can be
-boilerplate: paragraphs that many documents share are left to deduplication.
+much of itself to them is rejected; the others lose those lines. Lines of every
+length count. Exact copies count as one text, so a page is not turned into
+boilerplate by its own copies.
 """
 
 from __future__ import annotations
@@ -18,10 +18,10 @@ from riskframe.sources.tables import stored
 SYMBOLS = "#*$%&|<>"
 #: A line held by more distinct texts of one host than this is boilerplate.
 MAX_TEXTS = 20
-#: Longer lines, in code points, are never boilerplate.
-MAX_LINE = 200
 #: Rejected if more than this share of the word characters stood in such lines.
 MAX_LOST = 0.5
+#: Tasks that the texts holding one line are spread over.
+SPLITS = 16
 
 _INDEX_BITS = (1 << 28) - 1  # a word's place in its text; the rest of the long holds a hash
 
@@ -32,10 +32,9 @@ def line_hash(line: Column) -> Column:
     return F.xxhash64(F.regexp_replace(plain, "[0-9]", "0"))
 
 
-def _short_lines(lines: Column) -> Column:
-    """(hash, chars) of each line with a word and at most MAX_LINE code points."""
-    short = F.filter(lines, lambda x: F.length(x) <= MAX_LINE)
-    return F.transform(short, lambda x: F.struct(
+def _hashed(lines: Column) -> Column:
+    """(hash, chars) of each line."""
+    return F.transform(lines, lambda x: F.struct(
         line_hash(x).alias("line"),
         F.length(F.regexp_replace(x, "[ \\t\\x0B\\f\\r]+", "")).alias("chars")))
 
@@ -44,8 +43,8 @@ def text_counts(df: DataFrame, text: Column, keep: list[Column]) -> DataFrame:
     """``keep`` plus n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and lines.
 
     Repeated 3-word windows are found within the row: window hashes, each with its
-    place in the low bits, are sorted as plain longs; neighbours with equal hash
-    bits are then compared word by word.
+    place in the low bits, are sorted as plain longs; those whose hash bits equal a
+    neighbour's are sorted again by their words, and neighbours are compared by those.
     """
     filled = F.coalesce(text, F.lit(""))
     one = df.select(*keep, words_of(text).alias("_w"), F.filter(
@@ -57,7 +56,7 @@ def text_counts(df: DataFrame, text: Column, keep: list[Column]) -> DataFrame:
         F.length(joined).cast("long").alias("word_chars"),
         F.length(F.regexp_replace(joined, "[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
         (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
-        _short_lines(F.col("_l")).alias("lines"),
+        _hashed(F.col("_l")).alias("lines"),
         F.transform("_w", lambda w: F.xxhash64(w)).alias("_h"))
     fixed = [c for c in two.columns if c != "_h"]
     high, low = F.lit(~_INDEX_BITS), F.lit(_INDEX_BITS)
@@ -71,16 +70,20 @@ def text_counts(df: DataFrame, text: Column, keep: list[Column]) -> DataFrame:
     four = three.select(*fixed, "_h", F.filter("_s", lambda v, i: close(v, F.get("_s", i + 1))
                                                | close(v, F.get("_s", i - 1))).alias("_s"))
 
-    def equal(a: Column, b: Column) -> Column:
-        x, y = a.bitwiseAND(low).cast("int"), b.bitwiseAND(low).cast("int")
-        return F.coalesce((F.get("_h", x) == F.get("_h", y)) & (F.get("_h", x + 1) == F.get("_h", y + 1))
-                          & (F.get("_h", x + 2) == F.get("_h", y + 2)), F.lit(False))
-    five = four.select(*fixed, F.sort_array(F.transform(
+    def worded(v: Column) -> Column:
+        at = v.bitwiseAND(low).cast("int")
+        return F.struct(F.get("_h", at).alias("a"), F.get("_h", at + 1).alias("b"),
+                        F.get("_h", at + 2).alias("c"), at.cast("long").alias("at"))
+
+    def equal(x: Column, y: Column) -> Column:
+        return F.coalesce((x["a"] == y["a"]) & (x["b"] == y["b"]) & (x["c"] == y["c"]), F.lit(False))
+    five = four.select(*fixed, F.sort_array(F.transform("_s", worded)).alias("_s"))
+    six = five.select(*fixed, F.sort_array(F.transform(
         F.filter("_s", lambda v, i: equal(v, F.get("_s", i + 1)) | equal(v, F.get("_s", i - 1))),
-        lambda v: v.bitwiseAND(low))).alias("_p"))
+        lambda v: v["at"])).alias("_p"))
     gaps = F.transform("_p", lambda p, i: F.least(F.lit(3).cast("long"),
                                                   F.coalesce(F.get("_p", i + 1) - p, F.lit(3).cast("long"))))
-    return five.select(*fixed, F.aggregate(gaps, F.lit(0).cast("long"), lambda a, g: a + g)
+    return six.select(*fixed, F.aggregate(gaps, F.lit(0).cast("long"), lambda a, g: a + g)
                        .alias("n_repeat_words"))
 
 
@@ -93,7 +96,7 @@ def judge_quality(df: DataFrame, key: str = "doc_id", text: str = "text", host:
     Repeated rows get the same verdict each, and count as one text. Other columns are
     not read. Texts are read once; the line table is grouped by (host, line) after
     each text's lines are made distinct, so a hot host or line is summed up before
-    it is shuffled.
+    it is shuffled, and the texts of a line meet it in SPLITS tasks.
     """
     own = df.select(F.col(f"`{key}`").alias("_key"), F.coalesce(F.col(f"`{host}`").cast("string"), F.lit("\0")).alias("_host"),
                     F.col(f"`{text}`").alias("_text"))
@@ -102,10 +105,12 @@ def judge_quality(df: DataFrame, key: str = "doc_id", text: str = "text", host:
     texts = (counted.where(F.size("lines") > 0).groupBy("_host", "_print")
              .agg(F.first("lines").alias("lines")))
     held = texts.select("_host", F.explode(F.array_distinct(F.transform("lines", lambda x: x["line"]))).alias("_line"))
-    frequent = held.groupBy("_host", "_line").count().where(F.col("count") > max_texts).drop("count")
+    frequent = held.groupBy("_host", "_line").count().where(F.col("count") > max_texts).select(
+        "_host", "_line", F.explode(F.sequence(F.lit(0), F.lit(SPLITS - 1))).alias("_split"))
     each = texts.select("_host", "_print", F.explode("lines").alias("_x")).select(
-        "_host", "_print", F.col("_x.line").alias("_line"), F.col("_x.chars").alias("_chars"))
-    lost = (each.join(frequent, ["_host", "_line"]).groupBy("_host", "_print")
+        "_host", "_print", F.col("_x.line").alias("_line"), F.col("_x.chars").alias("_chars"),
+        F.pmod(F.hash("_print"), F.lit(SPLITS)).alias("_split"))
+    lost = (each.join(frequent, ["_host", "_line", "_split"]).groupBy("_host", "_print")
             .agg(F.sum("_chars").alias("lost_chars"), F.collect_set("_line").alias("frequent_lines")))
     judged = counted.drop("lines").join(lost, ["_host", "_print"], "left")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
@@ -149,5 +154,5 @@ def keep_good(df: DataFrame, key: str = "doc_id", text: str = "text", host: str
 
 def without_frequent_lines(text: Column, frequent: Column) -> Column:
     """A text without its lines whose hash is in ``frequent`` (see judge_quality)."""
-    return F.array_join(F.filter(F.split(text, "\n"), lambda x: ~(
-        (F.length(x) <= MAX_LINE) & F.array_contains(frequent, line_hash(x)))), "\n")
+    return F.array_join(F.filter(F.split(text, "\n"), lambda x: ~F.array_contains(
+        frequent, line_hash(x))), "\n")

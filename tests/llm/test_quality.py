@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from riskframe.llm.quality import keep_good
+from riskframe.llm.quality import judge_quality, keep_good
 
 
 def prose(i):
@@ -23,3 +23,31 @@ def test_kept_texts_lose_frequent_lines(spark):
         elif i in got:
             assert (got[i]["text"], got[i]["n_chars"]) == (text, -1)
     assert keep_good(df).columns == df.columns
+
+
+def test_lines_of_every_length_count(spark):
+    for size in (200, 201, 5000):
+        notice = ("read this notice " * size)[:size].strip() + "!"
+        rows = [(i, f"{prose(i)}\n{notice}", "a") for i in range(25)]
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+        got = judge_quality(df).collect()
+        assert {len(r["frequent_lines"]) for r in got} == {1}
+        assert {r["lost_chars"] for r in got} == {len("".join(notice.split()))}
+        if size < 300:
+            assert {r["text"] for r in keep_good(df).collect()} == {prose(i) for i in range(25)}
+
+
+def test_repeated_words_equal_plain_code(spark):
+    import random
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice("abcdefgh"[:n]) for _ in range(size)) for n in (2, 4, 8) for size in (0, 2, 3, 9, 60, 700)]
+    df = spark.createDataFrame([(i, t, "a") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    for r in judge_quality(df).collect():
+        w = texts[r["doc_id"]].split()
+        seen, covered = {}, set()
+        for i in range(len(w) - 2):
+            seen.setdefault(tuple(w[i:i + 3]), []).append(i)
+        for at in seen.values():
+            if len(at) > 1:
+                covered.update(j for i in at for j in (i, i + 1, i + 2))
+        assert r["n_repeat_words"] == len(covered)
