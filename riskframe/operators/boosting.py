@@ -8,13 +8,17 @@ gains, less ``gamma``, and the leaf weights, soft-thresholded by ``l1`` and shru
 The sums are whole numbers (gradients in fixed point), so they do not depend on the
 order or the number of partitions: a table gives the same model on any cluster. Rows of
 a round are drawn by a hash of (seed, round, key), features per tree by the seed.
+
+A row's gradient follows from its bin codes, label and weight alone. Where a large table
+has few different ones, its cells, the rows of a cell that each round draws are counted in
+one pass, and the rounds need the cells and these counts instead of the rows.
 """
 
 from __future__ import annotations
 
 import json
 import math
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import asdict, dataclass
 
 import numpy as np
@@ -28,7 +32,9 @@ from riskframe.sources.tables import stored
 #: Training rows of one partition.
 ROWS_EACH = 200_000
 #: Rows of one block of codes, and rounds after which the rows' margins are written anew.
-BLOCK, KEEP = 65_536, 20
+BLOCK, KEEP = 65_536, 5
+#: Counts of drawn rows, by cell and round, that one task holds.
+COUNTS = 60_000_000
 MISSING = 255
 
 
@@ -127,13 +133,15 @@ class Tree:
 
 @dataclass
 class Block:
-    """Some training rows in memory, with the margins they have so far."""
+    """Some training rows in memory, with the margins they have so far; or some cells with
+    ``times``, the rows each round draws of each (one line if every round draws all)."""
 
     draws: np.ndarray
     codes: np.ndarray
     label: np.ndarray
     weight: np.ndarray
     margin: np.ndarray
+    times: np.ndarray | None = None
     round: int = -1
 
     def advance(self, trees: Sequence[Tree], p: BoostingParams) -> None:
@@ -146,9 +154,14 @@ class Block:
         if self.round != round_:
             self.round = round_
             chance = 1.0 / (1.0 + np.exp(-self.margin))
-            drawn = _drawn(self.draws, round_, p)
-            self.g = np.where(drawn, np.rint(self.weight * (chance - self.label) * scale), 0.0)
-            self.h = np.where(drawn, np.rint(self.weight * chance * (1.0 - chance) * scale), 0.0)
+            self.g = np.rint(self.weight * (chance - self.label) * scale)
+            self.h = np.rint(self.weight * chance * (1.0 - chance) * scale)
+            if self.times is None:
+                drawn = _drawn(self.draws, round_, p)
+                self.g, self.h = np.where(drawn, self.g, 0.0), np.where(drawn, self.h, 0.0)
+            else:
+                times = self.times[round_ % len(self.times)].astype(np.int64)
+                self.g, self.h = self.g.astype(np.int64) * times, self.h.astype(np.int64) * times
         first, bins = 1 << level, p.bins + 1
         node = tree.route(self.codes) - first
         rows = np.flatnonzero((node >= 0) & tree.exists[node + first] & (self.h + np.abs(self.g) > 0))
@@ -158,10 +171,19 @@ class Block:
             code = self.codes[rows, c]
             cell = node * bins + np.where(code == MISSING, bins - 1, code)
             for j, x in enumerate((g, h)):
-                out[j, :, i] = np.bincount(cell, x, first * bins).astype(np.int64).reshape(first, bins)
+                out[j, :, i] = _totals(cell, x, first * bins).reshape(first, bins)
         return out
 
 
+def _totals(cell: np.ndarray, x: np.ndarray, cells: int) -> np.ndarray:
+    """Sums of whole numbers by cell. Those of many rows together may be too large for a
+    sum of doubles to be exact, so their halves are summed."""
+    if x.dtype != np.int64:
+        return np.bincount(cell, x, cells).astype(np.int64)
+    low, high = (np.bincount(cell, half, cells).astype(np.int64) for half in (x & 0x7FFFFFFF, x >> 31))
+    return low + (high << 31)
+
+
 def _drawn(draws: np.ndarray, round_: int, p: BoostingParams) -> np.ndarray:
     """Which rows a round uses: a mix of each row's hash with (seed, round) against the share."""
     if p.rows >= 1.0:
@@ -225,40 +247,98 @@ def partitions_for(rows: int) -> int:
     return max(1, -(-rows // ROWS_EACH))
 
 
-_LAYOUT = "draws binary, codes binary, label binary, weight binary, margin binary"
+_LAYOUT = "draws binary, codes binary, label binary, weight binary, margin binary, times binary"
 
 
 def _pack(block: Block) -> pa.RecordBatch:
-    columns = [block.draws, block.codes, block.label, block.weight, block.margin]
+    times = np.zeros(0, np.uint16) if block.times is None else block.times
+    columns = [block.draws, block.codes, block.label, block.weight, block.margin, times]
     return pa.record_batch([*(pa.array([c.tobytes()], pa.binary()) for c in columns)],
-                           names=["draws", "codes", "label", "weight", "margin"])
+                           names=["draws", "codes", "label", "weight", "margin", "times"])
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], n_features: int) -> Iterator[Block]:
+def _blocks(rows: Iterable, n_features: int, p: BoostingParams) -> Iterator[Block]:
+    for r in rows:
+        label, times = np.frombuffer(r["label"]), None
+        if r["times"]:
+            lines = p.rounds if p.rows < 1.0 else 1
+            kind = np.uint16 if len(r["times"]) == 2 * lines * len(label) else np.uint32
+            times = np.frombuffer(r["times"], kind).reshape(lines, -1)
+        yield Block(np.frombuffer(r["draws"], np.uint64), np.frombuffer(r["codes"], np.uint8).reshape(-1, n_features),
+                    label, np.frombuffer(r["weight"]), np.frombuffer(r["margin"]), times)
+
+
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """The rows of Arrow batches one at a time."""
     for batch in batches:
-        for r in batch.to_pylist():
-            yield Block(np.frombuffer(r["draws"], np.uint64), np.frombuffer(r["codes"], np.uint8).reshape(-1, n_features),
-                        np.frombuffer(r["label"]), np.frombuffer(r["weight"]), np.frombuffer(r["margin"]))
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
 
 
-def _binned(rows: DataFrame, features: Sequence[str], label: str, weight: str | None, key: str,
-            cuts: Sequence[Sequence[float]]) -> DataFrame:
-    """The table as blocks of bin codes."""
+def _coded(rows: DataFrame, features: Sequence[str], label: str, weight: str | None, key: str,
+           cuts: Sequence[Sequence[float]]) -> DataFrame:
+    """(draw, codes, label, weight) of every row, a byte of ``codes`` for each feature."""
     own = rows.select(F.xxhash64(key).alias("draw"), F.col(label).cast("double").alias("label"),
                       (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("weight"),
                       *(known(rows, c).cast("double").alias(f"f{i}") for i, c in enumerate(features)))
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = np.empty((batch.num_rows, len(cuts)), np.uint8)
+            for i, own_cuts in enumerate(cuts):
+                x = batch.column(3 + i).to_numpy(zero_copy_only=False).astype(float)
+                codes[:, i] = np.where(np.isnan(x), MISSING, np.searchsorted(own_cuts, x))
+            packed = pa.array(codes.view(f"V{len(cuts)}").ravel().tolist(), pa.binary())
+            yield pa.record_batch([batch.column(0), packed, batch.column(1), batch.column(2)],
+                                  names=["draw", "codes", "label", "weight"])
+    return own.mapInArrow(code, "draw long, codes binary, label double, weight double")
+
+
+def _read(batch: pa.RecordBatch, width: int) -> list[np.ndarray]:
+    codes = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(-1, width)
+    return [batch.column(0).to_numpy().view(np.uint64), codes, batch.column(2).to_numpy(), batch.column(3).to_numpy()]
+
+
+def _row_blocks(coded: DataFrame, width: int, parts: int) -> DataFrame:
+    """The rows as blocks."""
+    def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, BLOCK):
-                part = batch.slice(at, BLOCK)
-                codes = np.empty((part.num_rows, len(cuts)), np.uint8)
-                for i, own_cuts in enumerate(cuts):
-                    x = part.column(3 + i).to_numpy(zero_copy_only=False).astype(float)
-                    codes[:, i] = np.where(np.isnan(x), MISSING, np.searchsorted(own_cuts, x))
-                yield _pack(Block(part.column(0).to_numpy().view(np.uint64), codes, part.column(1).to_numpy(),
-                                  part.column(2).to_numpy(), np.zeros(part.num_rows)))
-    return own.mapInArrow(code, _LAYOUT)
+                draws, codes, label, weight = _read(batch.slice(at, BLOCK), width)
+                yield _pack(Block(draws, codes, label, weight, np.zeros(len(label))))
+    return coded.repartition(parts, "draw").mapInArrow(block, _LAYOUT)
+
+
+def _cell_blocks(coded: DataFrame, width: int, parts: int, p: BoostingParams) -> DataFrame:
+    """The cells as blocks. Rows of a cell of many rows are dealt to several tasks; what
+    these count stays apart, as sums over all blocks are all the rounds need."""
+    cell, each = ["codes", "label", "weight"], max(1, ROWS_EACH // 4)
+    large = coded.groupBy(*cell).agg(F.ceil(F.count("*") / each).alias("tasks")).where("tasks > 1")
+    dealt = coded.join(F.broadcast(large), cell, "left").withColumn(  # one row for each ROWS_EACH / 4 at most
+        "task", F.when(F.col("tasks").isNull(), 0).otherwise(F.pmod("draw", "tasks")))
+
+    def count(held: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        draws, codes, label, weight = (np.concatenate(c) for c in zip(*held))
+        whole = np.concatenate([codes, *(x.astype(float).view(np.uint8).reshape(-1, 8) for x in (label, weight))], axis=1)
+        _, one, number = np.unique(whole.view(f"V{whole.shape[1]}").ravel(), return_index=True, return_inverse=True)
+        lines = range(p.rounds) if p.rows < 1.0 else range(1)
+        times = np.stack([np.bincount(number[_drawn(draws, r, p)], minlength=len(one)) for r in lines])
+        step = max(1, min(BLOCK, COUNTS // 4 // len(lines)))
+        for at in range(0, len(one), step):
+            some, part = one[at:at + step], times[:, at:at + step]
+            part = part.astype(np.uint16 if part.max(initial=0) < 65_536 else np.uint32)
+            yield _pack(Block(draws[:0], codes[some], label[some], weight[some], np.zeros(len(some)), part))
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+        for batch in batches:
+            held.append(_read(batch, width))
+            if sum(len(h[0]) for h in held) >= ROWS_EACH:
+                yield from count(held)
+                held = []
+        if held:
+            yield from count(held)
+    return dealt.repartition(parts, *cell, "task").select("draw", *cell).mapInArrow(gather, _LAYOUT)
 
 
 @dataclass(frozen=True)
@@ -284,9 +364,10 @@ def fit_boosted(train: DataFrame, features: Sequence[str], label: str, key: str,
 
     Rows with a null key, label (0 or 1) or weight, or a weight of 0 or less, take no part.
     ``partitions`` follows the counted rows (``ROWS_EACH``). The rows are stored once as
-    blocks of bin codes. While they are one partition, all sums lie in one task and the
-    rounds run inside it; with more, each level is one aggregate over all blocks, and the
-    margins are written every ``KEEP`` rounds. Both give the same trees.
+    blocks of bin codes, those of more than one partition as cells if these are few enough.
+    What is one partition, or cells, lies in one task and the rounds run inside it; else
+    each level is one job over all blocks, and the margins are written every ``KEEP``
+    rounds. All give the same trees.
     """
     p = params or BoostingParams()
     spark = train.sparkSession
@@ -302,11 +383,18 @@ def fit_boosted(train: DataFrame, features: Sequence[str], label: str, key: str,
     cuts = quantile_cuts(rows, features, p.bins)
     parts = partitions or partitions_for(size["n"])
     scale = 2.0 ** math.floor(min(30, 61 - math.log2(size["total"] + 1), 52 - math.log2(BLOCK * size["most"] + 1)))
-    blocks = stored(_binned(rows.repartition(parts, key), features, label, weight, key, cuts).coalesce(parts), "boosting-blocks")
     width = len(features)
-    if parts == 1:
+    coded = _coded(rows, features, label, weight, key, cuts)
+    cells = False
+    if parts > 1:
+        coded = stored(coded, "boosting-codes")
+        different = coded.agg(F.approx_count_distinct(F.struct("codes", "label", "weight"))).first()[0]
+        cells = different <= min(ROWS_EACH, COUNTS // (p.rounds if p.rows < 1.0 else 1))
+    blocks = _cell_blocks(coded, width, parts, p) if cells else _row_blocks(coded, width, parts)
+    blocks = stored(blocks.coalesce(parts), "boosting-blocks")
+    if parts == 1 or cells:
         def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held = list(_blocks(batches, width))
+            held = list(_blocks(_each(batches), width, p))
 
             def measure(trees: list[Tree], tree: Tree, level: int, columns: list[int]) -> np.ndarray:
                 if level == 0:
@@ -318,37 +406,33 @@ def fit_boosted(train: DataFrame, features: Sequence[str], label: str, key: str,
         found = blocks.coalesce(1).mapInArrow(whole, "nodes string").collect()
         return BoostedTrees(tuple(features), p, tuple(json.loads(found[0]["nodes"])))
 
-    held, kept = blocks, 0
+    # blocks come to the tasks a few at a time, and a level is a job without a plan of its own
+    held, kept = blocks.rdd, 0
 
     def measure(trees: list[Tree], tree: Tree, level: int, columns: list[int]) -> np.ndarray:
         since, done, first = trees[kept:], len(trees), 1 << level
 
-        def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def partial(rows: Iterator) -> Iterator[np.ndarray]:
             total = np.zeros((2, first, len(columns), p.bins + 1), np.int64)
-            for block in _blocks(batches, width):
+            for block in _blocks(rows, width, p):
                 block.advance(since, p)
                 total += block.measure(done, tree, level, columns, scale, p)
-            g, h = total.reshape(2, -1)
-            cells = np.flatnonzero((g != 0) | (h != 0))
-            yield pa.record_batch([pa.array(cells), pa.array(g[cells]), pa.array(h[cells])], names=["cell", "g", "h"])
+            yield total
 
-        sums = held.mapInArrow(partial, "cell long, g long, h long").groupBy("cell").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
-        out = np.zeros((2, first * len(columns) * (p.bins + 1)), np.int64)
-        for r in sums.collect():  # nodes x features x bins, whatever the rows
-            out[:, r["cell"]] = r["g"], r["h"]
-        return out.reshape(2, first, len(columns), p.bins + 1)
+        return held.mapPartitions(partial).treeReduce(np.add)  # nodes x features x bins, whatever the rows
 
     def keep(trees: list[Tree]) -> None:
-        nonlocal held, kept
+        nonlocal blocks, held, kept
         if len(trees) - kept < KEEP or len(trees) == p.rounds:
             return
         since = trees[kept:]
 
         def advance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for block in _blocks(batches, width):
+            for block in _blocks(_each(batches), width, p):
                 block.advance(since, p)
                 yield _pack(block)
-        held, kept = stored(held.mapInArrow(advance, _LAYOUT), "boosting-blocks"), len(trees)
+        blocks = stored(blocks.mapInArrow(advance, _LAYOUT), "boosting-blocks")
+        held, kept = blocks.rdd, len(trees)
 
     trees = grow(measure, width, scale, p, keep)
     return BoostedTrees(tuple(features), p, tuple(nodes_of(trees, cuts, p)))

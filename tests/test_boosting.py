@@ -130,3 +130,23 @@ def test_expressions_score_alike(spark):
     batch, plain = (d.orderBy("id").collect() for d in (score_boosted(model, df, "id"), compile_boosted(model).score(df, "id")))
     assert [r["prediction"] for r in batch] == [r["prediction"] for r in plain]
     assert max(abs(a["risk_probability"] - b["risk_probability"]) for a, b in zip(batch, plain, strict=True)) < 1e-12
+
+
+def test_cells_rows_and_one_partition_alike(spark, monkeypatch):
+    df = patients(spark).withColumn("w", F.col("w") * 1e5)
+    p = BoostingParams(rounds=12, depth=3, rows=0.7, columns=0.7, gamma=0.1, seed=9)
+    fit = lambda **more: fit_boosted(df, ["a", "b", "c"], "y", "id", "w", p, **more)
+    one = fit()
+    spark.sparkContext.setJobGroup("cells", "boosting over cells")
+    assert fit(partitions=3) == one
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("cells")
+    assert len(jobs) < 30  # not one for each of the 36 levels
+    monkeypatch.setattr(boosting, "ROWS_EACH", 250)  # cells of many rows are dealt to several tasks
+    assert fit(partitions=3) == one
+    monkeypatch.setattr(boosting, "COUNTS", 0)
+    assert fit(partitions=3) == one
+
+
+def test_sums_beyond_exact_doubles():
+    cell, x = np.array([0, 1, 0, 0]), np.array([2 ** 60 + 1, -5, 2 ** 53 + 1, -(2 ** 40) - 1])
+    assert boosting._totals(cell, x, 2).tolist() == [2 ** 60 + 2 ** 53 - 2 ** 40 + 1, -5]
