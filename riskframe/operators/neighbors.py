@@ -17,8 +17,10 @@ How it stays exact without comparing every pair:
 
 A search ships query rows and donor rows to (cell, donor chunk, query chunk)
 groups. Both chunk counts come from counted rows, so a crowded cell is spread
-over many groups and no group outgrows its size. A group returns only the k best
-donors of each query, never its pairs. Of donors with equal coordinates only the
+over many groups and no group outgrows its size. A query that looks for donors of several
+coordinates goes to a group once, with its targets. A group returns only the k best
+donors of each query and target within its bound, never its pairs, and their numbers
+instead of their coordinates, which are joined to the final ones. Of donors with equal coordinates only the
 k with the smallest keys can be an answer, so the others are left out first.
 """
 
@@ -53,7 +55,7 @@ cloudpickle.register_pickle_by_value(__import__("sys").modules[__name__])
 class DonorIndex:
     """Donors with their cell, and the summary of the cells."""
 
-    donors: DataFrame            # donor_key, x0.., cell, sub
+    donors: DataFrame            # donor_id (number of the row), donor_key, x0.., cell, sub
     dims: int
     k: int
     splits: tuple                # per inner node: coordinate, value
@@ -86,7 +88,7 @@ def build_index(df: DataFrame, key: str, cols: Sequence[str], k: int,
     copies = Window.partitionBy(*xs).orderBy("donor_key")
     rows = rows.filter(F.contains("mask", F.lit("1"))).withColumn("copy", F.row_number().over(copies)) \
         .filter(F.col("copy") <= k).drop("copy")
-    masked = stored(rows, "donors")
+    masked = stored(rows.withColumn("donor_id", F.monotonically_increasing_id()), "donors")
     rows = masked.drop("mask")
     common = masked.groupBy("mask").count().orderBy(F.desc("count"), "mask") \
         .limit(MAX_CELLS // 4 + 1).collect()
@@ -117,7 +119,7 @@ def build_index(df: DataFrame, key: str, cols: Sequence[str], k: int,
                    [[_nan(r[f"lo_{x}"]) for x in xs] for r in cells],
                    [[_nan(r[f"hi_{x}"]) for x in xs] for r in cells],
                    [[r[f"all_{x}"] for x in xs] for r in cells], dims)
-    donors = placed.select("donor_key", *xs, F.concat_ws(":", "pattern", "leaf").alias("cell"))
+    donors = placed.select("donor_id", "donor_key", *xs, F.concat_ws(":", "pattern", "leaf").alias("cell"))
     crowded = {name: int(n) for name, n in zip(boxes["name"], boxes["n"]) if n > 2 * cell_rows}
     if not crowded:
         return DonorIndex(donors.withColumn("sub", F.lit(0)), dims, k, splits, boxes, centre)
@@ -145,14 +147,14 @@ def _cut_again(donors: DataFrame, crowded: dict, dims: int, cell_rows: int, cent
     learned = sample.groupBy("cell").applyInPandas(learn, "cell string, chunks int, axis array<int>, cut array<double>")
     plans = learned.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).drop("chunks")
     dealt = mine.withColumn("chunk", F.pmod(F.xxhash64("donor_key"), F.col("chunks")).cast("int")) \
-        .select("donor_key", *xs, "cell", "chunk")
+        .select("donor_id", "donor_key", *xs, "cell", "chunk")
 
     def place(rows: pd.DataFrame, plan: pd.DataFrame) -> pd.DataFrame:
         sub = np.zeros(len(rows), dtype="int32")
         if len(plan):
             x = rows[xs].to_numpy(dtype="float64", na_value=np.nan)
             sub = _leaves(x, np.asarray(plan["axis"].iloc[0]), np.asarray(plan["cut"].iloc[0]), np.array(centre))
-        return rows[["donor_key", *xs, "cell"]].assign(sub=sub)
+        return rows[["donor_id", "donor_key", *xs, "cell"]].assign(sub=sub)
     layout = T.StructType([*donors.schema.fields, T.StructField("sub", T.IntegerType())])
     cut = dealt.groupBy("cell", "chunk").cogroup(plans.groupBy("cell", "chunk")).applyInPandas(place, layout)
     rest = donors.join(small.select("cell"), "cell", "left_anti").select(*donors.columns).withColumn("sub", F.lit(0))
@@ -264,8 +266,13 @@ def _choose(near: np.ndarray, counts: np.ndarray, k: int):
     return order, usable, usable & (np.cumsum(held, axis=1) - held < k)
 
 
+#: Most rows of (query, cell) that a task puts together at once.
+VISITS_ONCE = 16_384
+_ASKED = "targets array<int>, reach array<double>, home array<boolean>"
+
+
 def _visits(index: DonorIndex, first: bool, query_type: str):
-    """Rows to send where: each query once per cell it has to search.
+    """Rows to send where: each query once per cell it has to search, with its targets there.
 
     First round: the nearest cells that surely hold k usable donors. Second
     round: the cells the bound (``reach``) does not rule out and that are not
@@ -285,17 +292,31 @@ def _visits(index: DonorIndex, first: bool, query_type: str):
                 near, mixed = _box_distance(q, part["target"].to_numpy(), boxes)
                 order, usable, home = _choose(near, np.where(mixed, 0, boxes["n"]), k)
                 take = home
+                reach = np.full(len(part), np.inf)
                 if not first:
                     reach = part["reach"].to_numpy(dtype="float64", na_value=np.inf)
                     inside = usable & (np.take_along_axis(near, order, 1) <= reach[:, None])
                     take = inside if again else inside & ~home
+                # rows in succession that differ in their target alone are one query
+                key = part["query_key"].to_numpy()
+                new = np.ones(len(part), bool)
+                new[1:] = (key[1:] != key[:-1]) | ~((q[1:] == q[:-1]) | (np.isnan(q[1:]) & np.isnan(q[:-1]))).all(axis=1)
+                query, heads = np.cumsum(new) - 1, np.flatnonzero(new)
                 row, col = np.nonzero(take)
-                out = part.iloc[row][["query_key", "target", *xs]].reset_index(drop=True)
-                out["reach"] = part["reach"].to_numpy()[row] if not first else np.inf
-                out["cell"], out["home"] = names[order[row, col]], home[row, col]
-                yield out
-    schema = f"query_key {query_type}, target int, " + \
-        ", ".join(f"{x} double" for x in xs) + ", reach double, cell string, home boolean"
+                cell, home = order[row, col], home[row, col]
+                by = np.lexsort((row, cell, query[row]))
+                row, cell, home = row[by], cell[by], home[by]
+                target, reach, of = part["target"].to_numpy()[row], reach[row], query[row]
+                edge = np.flatnonzero(np.diff(of, prepend=-1) | np.diff(cell, prepend=-1))
+                ends = np.append(edge[1:], len(row))
+                for at in range(0, len(edge), VISITS_ONCE):
+                    a, b = edge[at:at + VISITS_ONCE], ends[at:at + VISITS_ONCE]
+                    out = part.iloc[heads[of[a]]][["query_key", *xs]].reset_index(drop=True)
+                    for name, values in (("targets", target), ("reach", reach), ("home", home)):
+                        out[name] = pd.Series([values[i:j] for i, j in zip(a.tolist(), b.tolist())], dtype=object)
+                    out["cell"] = names[cell[a]]
+                    yield out[["query_key", *xs, "targets", "reach", "home", "cell"]]
+    schema = f"query_key {query_type}, " + ", ".join(f"{x} double" for x in xs) + f", {_ASKED}, cell string"
     return plan, schema
 
 
@@ -307,6 +328,9 @@ def _inner_visits(index: DonorIndex, visits: DataFrame, first: bool) -> DataFram
     """
     dims, k, xs = index.dims, index.k, _xs(index.dims)
     spark = visits.sparkSession
+    visits = visits.withColumn("asked", F.explode(F.arrays_zip("targets", "reach", "home"))).select(
+        "query_key", F.col("asked.targets").alias("target"), *xs, F.col("asked.reach").alias("reach"), "cell",
+        F.col("asked.home").alias("home"))
     cells = index.inner.select("cell").distinct()                              # outer cells
     asked = visits.join(F.broadcast(cells), "cell", "left_semi").groupBy("cell").agg(
         F.ceil(F.count("*") / F.lit(CHUNK_ROWS)).cast("int").alias("chunks"))
@@ -315,7 +339,7 @@ def _inner_visits(index: DonorIndex, visits: DataFrame, first: bool) -> DataFram
         .select(*visits.columns, "chunk")
     boxes = index.inner.join(asked, "cell").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))) \
         .drop("chunks")
-    columns = ["query_key", "target", *xs, "cell"]
+    columns = ["query_key", "target", *xs, "reach", "cell"]
 
     def plan(queries: pd.DataFrame, subs: pd.DataFrame) -> pd.DataFrame:
         subs = subs.sort_values("sub", kind="stable")
@@ -334,69 +358,70 @@ def _inner_visits(index: DonorIndex, visits: DataFrame, first: bool) -> DataFram
             else:
                 reach = part["reach"].to_numpy(dtype="float64", na_value=np.inf)
                 take = usable & ~nearest & (np.take_along_axis(near, order, 1) <= reach[:, None])
-            row, col = np.nonzero(take)
-            found.append(part.iloc[row][columns].assign(sub=number[order[row, col]]))
-        return pd.concat(found) if found else pd.DataFrame({c: [] for c in [*columns, "sub"]})
-    layout = T.StructType([*(visits.schema[c] for c in columns), T.StructField("sub", T.IntegerType())])
-    cut = dealt.groupBy("cell", "chunk").cogroup(boxes.groupBy("cell", "chunk")).applyInPandas(plan, layout)
+            # a row for each query here, one for each of its inner cells after the task
+            found.append(part[columns].assign(subs=[number[o[t]] for o, t in zip(order, take)]))
+        return pd.concat(found) if found else pd.DataFrame({c: [] for c in [*columns, "subs"]})
+    layout = T.StructType([*(visits.schema[c] for c in columns), T.StructField("subs", T.ArrayType(T.IntegerType()))])
+    cut = dealt.groupBy("cell", "chunk").cogroup(boxes.groupBy("cell", "chunk")).applyInPandas(plan, layout) \
+        .withColumn("sub", F.explode("subs")).drop("subs")
     rest = visits.join(F.broadcast(cells), "cell", "left_anti")
     if not first:
         rest = rest.where(~F.col("home"))
-    return cut.unionByName(rest.select(*columns, F.lit(0).alias("sub")))
+    return cut.unionByName(rest.select(*columns, F.lit(0).alias("sub"))).withColumns(
+        {"targets": F.array("target"), "reach": F.array("reach")}).drop("target")
 
 
 def _best_donors(k: int, dims: int):
-    """The k best donors of each query within one group."""
+    """The k best donors of each query and target within one group, none beyond its reach."""
     xs = _xs(dims)
     block = 4_000_000
 
     def best(queries, donors):
         donors = donors.sort_values("donor_key", kind="stable")
         d = donors[xs].to_numpy(dtype="float64", na_value=np.nan)
-        keys = donors["donor_key"].to_numpy()
+        has = ~np.isnan(d)
+        q = queries[xs].to_numpy(dtype="float64", na_value=np.nan)
+        number = np.repeat(np.arange(len(queries)), [len(t) for t in queries["targets"]])
+        target = np.concatenate(queries["targets"].tolist()).astype("int64")
+        reach = np.concatenate(queries["reach"].tolist()).astype("float64")
         step = max(1, block // max(1, len(d)))
         found = []
         for start in range(0, len(queries), step):
-            part = queries.iloc[start:start + step]
-            q = part[xs].to_numpy(dtype="float64", na_value=np.nan)
-            acc = np.zeros((len(q), len(d)))
-            shared = np.zeros((len(q), len(d)), dtype="int16")
+            some = q[start:start + step]
+            near = np.zeros((len(some), len(d)))
+            shared = np.zeros((len(some), len(d)), dtype="int16")
             for i in range(dims):
-                gap = q[:, i][:, None] - d[:, i][None, :]
+                gap = some[:, i][:, None] - d[:, i][None, :]
                 both = ~np.isnan(gap)
-                acc += np.where(both, gap * gap, 0.0)
+                near += np.where(both, gap * gap, 0.0)
                 shared += both
             with np.errstate(divide="ignore", invalid="ignore"):
-                acc = np.where(shared > 0, acc * (dims / shared), np.inf)
-            target = part["target"].to_numpy()
-            has = ~np.isnan(d)
-            for t in np.unique(target[target >= 0]):
-                acc[np.ix_(target == t, ~has[:, t])] = np.inf
-            take = min(k, acc.shape[1])
-            cut = np.partition(acc, take - 1, axis=1)[:, take - 1]
-            row, pos = np.nonzero((acc <= cut[:, None]) & np.isfinite(acc))
-            dist = acc[row, pos]
-            # donors lie in key order, so the position decides between equal distances
-            order = np.lexsort((pos, dist, row))
-            row, pos, dist = row[order], pos[order], dist[order]
-            rank = np.arange(len(row)) - np.searchsorted(row, row)
-            keep = rank < k
-            found.append((row[keep] + start, pos[keep], dist[keep]))
-        row = np.concatenate([f[0] for f in found])
-        pos = np.concatenate([f[1] for f in found])
-        return row, keys[pos], np.concatenate([f[2] for f in found]), d[pos]
+                near = np.where(shared > 0, near * (dims / shared), np.inf)
+            low, high = np.searchsorted(number, [start, start + len(some)])
+            for at in range(low, high, step):
+                part = slice(at, min(at + step, high))
+                acc, wants = near[number[part] - start], target[part]
+                for t in np.unique(wants[wants >= 0]):
+                    acc[np.ix_(wants == t, ~has[:, t])] = np.inf
+                take = min(k, acc.shape[1])
+                cut = np.minimum(np.partition(acc, take - 1, axis=1)[:, take - 1], reach[part])
+                row, pos = np.nonzero((acc <= cut[:, None]) & np.isfinite(acc))
+                dist = acc[row, pos]
+                # donors lie in key order, so the position decides between equal distances
+                order = np.lexsort((pos, dist, row))
+                row, pos, dist = row[order], pos[order], dist[order]
+                rank = np.arange(len(row)) - np.searchsorted(row, row)
+                keep = rank < k
+                found.append((row[keep] + at, pos[keep], dist[keep]))
+        row, pos, dist = (np.concatenate([f[i] for f in found]) for i in range(3))
+        return pd.DataFrame({"query_key": queries["query_key"].to_numpy()[number[row]], "target": target[row],
+                             "donor_key": donors["donor_key"].to_numpy()[pos], "dist2": dist,
+                             "donor_id": donors["donor_id"].to_numpy()[pos]})
 
     def search(queries: pd.DataFrame, donors: pd.DataFrame) -> pd.DataFrame:
-        columns = ["query_key", "target", "donor_key", "dist2", *(f"d{x}" for x in xs)]
         if not len(queries) or not len(donors):
-            return pd.DataFrame({c: [] for c in columns})
-        queries = queries.reset_index(drop=True)
-        row, keys, dist2, coords = best(queries, donors)
-        out = queries.iloc[row][["query_key", "target"]].reset_index(drop=True)
-        out["donor_key"], out["dist2"] = keys, dist2
-        for i, x in enumerate(xs):
-            out[f"d{x}"] = coords[:, i]
-        return out
+            return pd.DataFrame({c: [] for c in ["query_key", "target", "donor_key", "dist2", "donor_id"]})
+        return best(queries, donors)
     return search
 
 
@@ -435,7 +460,7 @@ def _dealt(visits: DataFrame, donors: DataFrame, plan: DataFrame):
 
 
 def _round(index: DonorIndex, queries: DataFrame, first: bool) -> DataFrame:
-    xs, k = _xs(index.dims), index.k
+    k = index.k
     query_type = queries.schema["query_key"].dataType
     donor_type = index.donors.schema["donor_key"].dataType
     plan, schema = _visits(index, first, query_type.simpleString())
@@ -444,12 +469,12 @@ def _round(index: DonorIndex, queries: DataFrame, first: bool) -> DataFrame:
         visits = stored(_inner_visits(index, visits, first), "inner-visits")
         sent, donors, groups = _chunked(visits, index.donors)
     else:
-        sent, donors, groups = _chunked_outer(index, visits.drop("reach", "home").withColumn("sub", F.lit(0)))
+        sent, donors, groups = _chunked_outer(index, visits.drop("home").withColumn("sub", F.lit(0)))
     out = T.StructType([T.StructField("query_key", query_type),
                         T.StructField("target", T.IntegerType()),
                         T.StructField("donor_key", donor_type),
                         T.StructField("dist2", T.DoubleType()),
-                        *(T.StructField(f"d{x}", T.DoubleType()) for x in xs)])
+                        T.StructField("donor_id", T.LongType())])
     search = _best_donors(k, index.dims)
     # the work of a group is far larger than its bytes, so the groups are not
     # packed by size: one task each, or a few where there are many
@@ -492,5 +517,8 @@ def knn(index: DonorIndex, df: DataFrame, key: str, cols: Sequence[str],
         reach = queries.join(bound, ["query_key", "target"], "left").withColumn(
             "reach", F.when(F.col("n") >= index.k, F.col("far")).otherwise(F.lit(float("inf")))) \
             .drop("far", "n")
+        # the targets of a query side by side again, after the join
+        reach = reach.repartition("query_key").sortWithinPartitions("query_key", *xs)
         found = found.unionByName(_round(index, reach, first=False))
-    return _top(found, want, drop_self)
+    coords = index.donors.select("donor_id", *(F.col(x).alias(f"d{x}") for x in xs))
+    return _top(found, want, drop_self).join(coords, "donor_id").drop("donor_id")

@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from riskframe.operators import impute
 from conftest import rows
@@ -116,3 +117,18 @@ def test_knn_applies_to_unseen_rows_and_drops_empty(spark):
                                  "id long, a double, b double, c double")
     out = impute.KnnImputer(("a", "b", "c"), "id", k=2).fit(train).transform(test)
     assert sorted(rows(out)) == [(7, 0.4, 2.0), (8, pytest.approx(10 / 3), 18.0)]
+
+
+def test_knn_asks_a_cell_once_for_all_targets(spark, monkeypatch):
+    """A query goes to a cell once, not once for each coordinate it lacks, and what groups find is narrow."""
+    from riskframe.operators import neighbors
+    seen, real = {}, neighbors.stored
+    monkeypatch.setattr(neighbors, "stored", lambda df, name: seen.setdefault(name, real(df, name)))
+    gaps = spark.range(40).select("id", *(F.when((F.col("id") * 7 + i) % 3 != 0, F.col("id") * (i + 1) % 11).cast("double").alias(f"x{i}")
+                                          for i in range(9)))
+    model = impute.KnnImputer(tuple(f"x{i}" for i in range(9)), "id", 2).fit(gaps)
+    assert model.transform(gaps).where(" or ".join(f"x{i} is null" for i in range(9))).count() == 0
+    visits, near = seen["visits"], seen["near"]
+    assert visits.groupBy("query_key", "cell").count().where("count > 1").isEmpty()
+    assert visits.selectExpr("max(size(targets))").first()[0] > 1
+    assert not [c for c in near.columns if c.startswith("d") and c[1:2] == "x"]
