@@ -119,19 +119,29 @@ def _sorted_suffixes(text: np.ndarray, depth: int) -> np.ndarray:
     key = np.zeros(n, np.uint64)
     for i in range(8):
         key = (key << np.uint64(8)) | padded[i:i + n]
+    order = np.argsort(key)
+    ranked = key[order]
+    new = np.ones(n, bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    rank = np.empty(n, np.uint64)  # of equal places: one more than their first place in order
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0)) + 1
     known = 8
-    while True:
-        order = np.argsort(key, kind="stable")
-        if known >= depth + 1:
-            return order
-        ranked = key[order]
-        rank = np.empty(n, np.uint64)
-        new = np.ones(n, np.uint64)
-        new[1:] = ranked[1:] != ranked[:-1]
-        rank[order] = np.cumsum(new)
-        ahead = np.zeros(n, np.uint64)
-        ahead[:-known] = rank[known:] if known < n else 0
-        key, known = (rank << np.uint64(32)) | ahead, 2 * known
+    while known <= depth:
+        # only places that are still equal to others are sorted again, within their slots
+        slots = np.flatnonzero(~(new & np.append(new[1:], True)))
+        if not len(slots):
+            break
+        at = order[slots]
+        ahead = np.where(at + known < n, rank[np.minimum(at + known, n - 1)], np.uint64(0))
+        key = (rank[at] << np.uint64(32)) | ahead
+        by = np.argsort(key)
+        at, key = at[by], key[by]
+        fresh = np.ones(len(at), bool)
+        fresh[1:] = key[1:] != key[:-1]
+        order[slots], new[slots] = at, fresh
+        rank[at] = np.maximum.accumulate(np.where(fresh, slots, 0)) + 1
+        known *= 2
+    return order
 
 
 def _borders(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
@@ -139,29 +149,31 @@ def _borders(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
     n = len(text)
     bwt = text[order - 1]
     by_char = np.argsort(bwt, kind="stable")
-    back = np.empty(n, np.int64)  # where a place's character stands in the first column
-    back[by_char] = np.arange(n)
+    back = np.empty(n, np.int32)  # where a place's character stands in the first column
+    back[by_char] = np.arange(n, dtype=np.int32)
     chars = bwt[by_char]
     same = chars[1:] == chars[:-1]
-    after, before = np.full(n, n, np.int64), np.full(n, -1, np.int64)
+    after, before = np.full(n, n, np.int32), np.full(n, -1, np.int32)
     after[by_char[:-1][same]] = by_char[1:][same]
     before[by_char[1:][same]] = by_char[:-1][same]
     reached = np.zeros(n + 1, bool)
     counts = np.bincount(text, minlength=256)
-    edges = np.concatenate([[0], np.cumsum(counts[counts > 0])])
+    edges = np.concatenate([[0], np.cumsum(counts[counts > 0])]).astype(np.int32)
     reached[edges] = True
     low, high = edges[:-1], edges[1:]
     for _ in range(1, length):
         if not len(low):
             break
         size = high - low
-        number = np.repeat(np.arange(len(low)), size)
-        where = np.arange(len(number)) - np.repeat(np.cumsum(size) - size, size) + low[number]
+        number = np.repeat(np.arange(len(low), dtype=np.int32), size)
+        shift = (low - np.cumsum(size) + size).astype(np.int32)
+        where = np.arange(len(number), dtype=np.int32) + shift[number]
         ends = after[where] >= high[number]
         begins = before[where] < low[number]
         # the k-th character of each interval by value: its first and its last place
-        last = back[where[ends]][np.lexsort((bwt[where[ends]], number[ends]))] + 1
-        first = back[where[begins]][np.lexsort((bwt[where[begins]], number[begins]))]
+        last, first = (back[at[np.argsort(of.astype(np.int64) << 8 | bwt[at], kind="stable")]] for at, of in
+                       ((where[ends], number[ends]), (where[begins], number[begins])))
+        last += 1
         fresh = ~reached[last]
         low, high = first[fresh], last[fresh]
         reached[high] = True

@@ -40,3 +40,22 @@ def test_no_block_outgrows_its_bound(spark, monkeypatch, tmp_path, block):
     assert got == dict(enumerate(plain_spans(texts, 40)))
     most = max(int(p.read_text()) for p in tmp_path.iterdir())
     assert 0 < most <= block
+
+
+def test_places_told_apart_are_not_sorted_again(monkeypatch):
+    """After the first sort only places that are still equal to others take part."""
+    import numpy as np
+
+    from riskframe.llm import substrings
+    rng = np.random.default_rng(2)
+    contexts = [bytes(rng.integers(97, 123, 200).astype(np.uint8)) for _ in range(20)]
+    contexts += [contexts[3][40:160] + b"x" * 30]
+    text = np.frombuffer(b"".join(c + b"\xff" for c in contexts), np.uint8)
+    sizes, real = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda a, **more: sizes.append(len(a)) or real(a, **more))
+    order = substrings._sorted_suffixes(text, 100)
+    assert sizes[0] == len(text) and sum(sizes[1:]) < len(text)
+    padded = text.tobytes() + b"\0" * 100
+    starts = [padded[i:i + 100] for i in order]
+    assert starts == sorted(starts)
+    assert substrings.shared_windows(contexts, 100) == [[]] * 20 + [[(0, 20)]]
