@@ -16,7 +16,9 @@ x and h are not linked only if d > r * (|x| + |h|). So a pair, at least one of w
 linked with h, shares more than (m * (1 + r) + p * (1 - r)) / 2 of the differences of the
 other: an outside shingle few members have, or one of the few rarest missing shingles;
 the outside shingles many members have lengthen the latter. Pairs of different hubs are
-looked at as they are.
+looked at as they are where a band brings few of them together. A crowd, such as all texts
+with one passage, is not paired out: whatever one order all shingles are put in, two sets
+that similar share one of the first (1 - t) * n + 1 of each, so the rarest first.
 """
 
 from __future__ import annotations
@@ -40,6 +42,8 @@ SIGMAS = 6.0
 HUB = 0.4
 #: Outside shingles of over this share of a hub's unlinked members propose no pairs.
 OFTEN = 0.25
+#: A group of one band with more pairs of different hubs than this for each member is a crowd.
+CROWD = 8
 _BELOW = np.uint64((1 << 52) - 1)
 
 
@@ -225,6 +229,40 @@ def _of_one_hub(members: DataFrame, threshold: float) -> DataFrame:
                                              F.greatest("key_a", "key_b").alias("b")).distinct()
 
 
+def _of_crowds(members: DataFrame, texts: DataFrame, threshold: float, shingle: int) -> DataFrame:
+    """Pairs (a, b) of ``members`` (key, hub, component) with different hubs and components
+    that could be similar enough: they share one of the rarest shingles of each."""
+    own = members.select("key").join(texts.select(F.col("key").alias("_k"), "text"), F.col("key") == F.col("_k")).select("key", "text")
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, 1):
+                hashes, offsets = shingle_sets(batch.column(1), shingle)
+                total = np.concatenate([[np.uint64(0)], np.cumsum(mixed(hashes))])
+                yield pa.record_batch([
+                    batch.column(0), pa.array((total[offsets[1:]] - total[offsets[:-1]]).view(np.int64)),
+                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(hashes.view(np.int64)))],
+                    names=["key", "mark", "shingles"])
+
+    kind = texts.schema["key"].dataType.simpleString()
+    sets = own.mapInArrow(spell, f"key {kind}, mark bigint, shingles array<bigint>").groupBy("key", "mark").agg(
+        F.first("shingles").alias("shingles"))  # a key may have more than one text
+    spelt = stored(sets.select("key", "mark", F.size("shingles").alias("n"), F.explode("shingles").alias("one")), "spelt")
+    times = spelt.groupBy("one").agg(F.count("*").alias("times")).where("times > 1")
+    each = Window.partitionBy("key", "mark")
+    # shingles of one text only come first and are left out
+    first = spelt.join(times, "one").withColumn(
+        "nth", F.col("n") - F.count("*").over(each) + F.row_number().over(each.orderBy("times", "one"))).where(
+        F.col("nth") <= F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - F.lit(1e-6)) + 1)
+    first = stored(first.select("key", "n", "one", "nth").join(members, "key"), "first")
+    left, right = (first.select("one", *(F.col(c).alias(f"{c}_{k}") for c in ("n", "nth", "hub", "component")),
+                                F.col("key").alias(k)) for k in "ab")
+    # what both have from the first shared one on
+    rest = F.least(F.col("n_a") - F.col("nth_a"), F.col("n_b") - F.col("nth_b")) + 1
+    return left.join(right, "one").where("component_a < component_b and hub_a <> hub_b").where(
+        rest >= F.lit(threshold / (1 + threshold)) * (F.col("n_a") + F.col("n_b")) - F.lit(1e-6)).select("a", "b").distinct()
+
+
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5,
                     threshold: float = 0.8) -> DataFrame:
     """(key, n_shingles, component, kept) of every row.
@@ -288,10 +326,18 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shin
     told = told.join(moved.select("a"), "a", "left_anti").unionByName(moved)
     placed = placed.join(told.select(F.col("a").alias("key"), F.col("b").alias("_hub")), "key", "left")
     placed = stored(placed.select("band", "value", "key", "component", F.coalesce("_hub", "key").alias("hub")), "open")
-    left, right = (placed.select("band", "value", *(F.col(c).alias(f"{c}_{k}") for c in ("component", "hub")),
-                                 F.col("key").alias(k)) for k in "ab")
+    sizes = placed.groupBy("band", "value", "hub").agg(F.count("*").alias("n")).groupBy("band", "value").agg(
+        F.sum("n").alias("size"), ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"))
+    sizes = stored(sizes.where("pairs > 0"), "sizes")
+    crowd = F.col("pairs") > F.lit(CROWD) * F.col("size")
+    few = placed.join(sizes.where(~crowd).select("band", "value"), ["band", "value"])
+    left, right = (few.select("band", "value", *(F.col(c).alias(f"{c}_{k}") for c in ("component", "hub")),
+                              F.col("key").alias(k)) for k in "ab")
     apart = left.join(right, ["band", "value"]).where(
         "component_a < component_b and hub_a <> hub_b").select("a", "b")
+    many = placed.join(sizes.where(crowd).select("band", "value"), ["band", "value"]).select(
+        "key", "hub", "component").distinct()
+    apart = apart.unionByName(_of_crowds(stored(many, "crowds"), texts, threshold, shingle))
     members = placed.select("key", "component").distinct().join(
         told.select(F.col("a").alias("key"), F.col("b").alias("hub"), "linked", "n", "outside", "missing"), "key")
     pairs = stored(apart.unionByName(_of_one_hub(members, threshold)).distinct(), "proposed")
