@@ -93,7 +93,7 @@ def fit_model(train: DataFrame, numeric: Sequence[str], categorical: Sequence[st
     if key:
         rows = stored(train.select(key, *(c for c in used if c != key)), "training")
         count = rows.count()
-        if count > cells_from and algo == "rf" and partitions is None:
+        if count > cells_from and algo in ("rf", "gbt") and partitions is None:
             *first, classifier = build_stages(numeric, categorical, label, algo, params, weight, scale_encoded).getStages()
             ready = Pipeline(stages=first).fit(rows)
             model = fit_cells(classifier, ready.transform(rows), rows.columns)

@@ -24,7 +24,8 @@ ALL = {"featureSubsetStrategy": "all", "bootstrap": False, "seed": 1, "maxBins":
 
 
 @pytest.mark.parametrize("algo, params", [
-    ("rf", {**ALL, "numTrees": 1, "maxDepth": 4, "minInstancesPerNode": 20})])
+    ("rf", {**ALL, "numTrees": 1, "maxDepth": 4, "minInstancesPerNode": 20}),
+    ("gbt", {"maxIter": 3, "maxDepth": 3, "minInstancesPerNode": 20, "seed": 1, "maxBins": 64})])
 def test_without_draws_the_model_is_that_of_spark_ml(spark, algo, params):
     df = prepared(spark)
     plain, cells = (fit_model(df, NUMERIC, ["sex"], "num", algo, params, key="id", cells_from=n) for n in (10**9, 0))
@@ -36,7 +37,8 @@ def test_without_draws_the_model_is_that_of_spark_ml(spark, algo, params):
     assert chances(again, df) == chances(cells, df)
 
 
-@pytest.mark.parametrize("algo, params", [("rf", {"numTrees": 20, "maxDepth": 4, "seed": 1})])
+@pytest.mark.parametrize("algo, params", [("rf", {"numTrees": 20, "maxDepth": 4, "seed": 1}),
+                                          ("gbt", {"maxIter": 5, "maxDepth": 3, "subsamplingRate": 0.8, "seed": 1})])
 def test_draws_are_the_same_under_any_partitions_and_find_the_signal(spark, algo, params, monkeypatch):
     df, both = prepared(spark), []
     for parts in (1, 7):
