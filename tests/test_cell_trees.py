@@ -25,7 +25,8 @@ ALL = {"featureSubsetStrategy": "all", "bootstrap": False, "seed": 1, "maxBins":
 
 @pytest.mark.parametrize("algo, params", [
     ("rf", {**ALL, "numTrees": 1, "maxDepth": 4, "minInstancesPerNode": 20}),
-    ("gbt", {"maxIter": 3, "maxDepth": 3, "minInstancesPerNode": 20, "seed": 1, "maxBins": 64})])
+    ("gbt", {"maxIter": 3, "maxDepth": 3, "subsamplingRate": 1.0, "minInstancesPerNode": 20, "seed": 1,
+             "maxBins": 64})])
 def test_without_draws_the_model_is_that_of_spark_ml(spark, algo, params):
     df = prepared(spark)
     plain, cells = (fit_model(df, NUMERIC, ["sex"], "num", algo, params, key="id", cells_from=n) for n in (10**9, 0))
