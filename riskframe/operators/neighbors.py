@@ -46,6 +46,8 @@ SAMPLE_ROWS = 32_768    # donors sampled to place the splits
 CHUNK_ROWS = 16_384     # most rows of either side in one group
 INNER_SAMPLE = 8        # donors sampled for each inner cell
 MIXED = "mixed"         # the pattern of the rare patterns together
+BLOCK_PAIRS = 262_144   # distances a task works out at once, so that they stay in a core's cache
+EXACT_PAIRS = 262_144   # pairs whose distance is worked out exactly at once
 
 # Executors get these helpers with the task, they need no copy of the package.
 cloudpickle.register_pickle_by_value(__import__("sys").modules[__name__])
@@ -201,6 +203,8 @@ def _place_splits(sample: np.ndarray, depth: int, dims: int, centre=None):
         for part in parts:
             axis = int(np.argmax((part / scale).std(axis=0))) if len(part) else 0
             cut = float(np.median(part[:, axis])) if len(part) else 0.0
+            if len(part) and cut == part[:, axis].min():    # most rows have the least value: part them from the others
+                cut = float(part[:, axis].min(initial=np.inf, where=part[:, axis] > cut))
             splits.append((axis, cut))
             right = part[:, axis] >= cut
             halves += [part[~right], part[right]]
@@ -371,50 +375,143 @@ def _inner_visits(index: DonorIndex, visits: DataFrame, first: bool) -> DataFram
         {"targets": F.array("target"), "reach": F.array("reach")}).drop("target")
 
 
+def _exact(q: np.ndarray, d: np.ndarray, row: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """The scaled distances of pairs, summed coordinate by coordinate; inf if they share none."""
+    dims = q.shape[1]
+    near, shared = np.zeros(len(row)), np.zeros(len(row), dtype="int16")
+    with np.errstate(all="ignore"):
+        for i in range(dims):
+            gap = q[row, i] - d[pos, i]
+            both = ~np.isnan(gap)
+            near += np.where(both, gap * gap, 0.0)
+            shared += both
+        return np.where(shared > 0, near * (dims / shared), np.inf)
+
+
+def _near_blocks(q: np.ndarray, d: np.ndarray):
+    """Blocks of query rows with their distances to all donors, and how far each row's may be off.
+
+    The distances are products of matrices, so they are fast but not exact in the last digits.
+    Coordinates too large for that, or infinite, are worked out exactly.
+    """
+    dims = q.shape[1]
+    hq, hd = ~np.isnan(q), ~np.isnan(d)
+    step = max(1, BLOCK_PAIRS // len(d))
+    if max(np.abs(q[hq]).max(initial=0.0), np.abs(d[hd]).max(initial=0.0)) > 1e150:
+        every = np.arange(len(d))
+        for at in range(0, len(q), step):
+            rows = np.arange(at, min(at + step, len(q)))
+            near = _exact(q, d, np.repeat(rows, len(d)), np.tile(every, len(rows)))
+            yield rows, near.reshape(len(rows), len(d)), np.zeros(len(rows))
+        return
+    centre = np.where(hd, d, 0.0).sum(0) / np.maximum(1, hd.sum(0))
+    qz, dz = np.where(hq, q - centre, 0.0), np.where(hd, d - centre, 0.0)
+    dd = dz * dz
+    most, rounding = dd.sum(1).max(), 16 * (dims + 4) * np.finfo(float).eps
+    alike = bool((hd == hd[0]).all())
+    order = np.lexsort(np.packbits(hq, axis=1).T)    # rows that lack the same side by side
+    right, of = None, None
+    for at in range(0, len(q), step):
+        rows = order[at:at + step]
+        h, z = hq[rows], qz[rows]
+        zz = z * z
+        slack = rounding * (zz.sum(1) + most) + 1e-300
+        if not alike:
+            if right is None:
+                right = np.concatenate([dz, hd, dd], axis=1).T
+            near = np.concatenate([-2 * z, zz, h], axis=1) @ right
+            shared = h.astype(float) @ hd.T.astype(float)
+            near = np.where(shared > 0, near * (dims / np.maximum(shared, 1.0)), np.inf)
+            yield rows, near, slack * dims
+            continue
+        both = h & hd[0]
+        shared = both.sum(1)
+        factor = dims / np.maximum(shared, 1)
+        whole = (zz * both).sum(1)[:, None]
+        if (h == h[0]).all():
+            if of is None or (of != h[0]).any():
+                of, use = h[0], np.flatnonzero(both[0])
+                right = np.concatenate([dz[:, use], dd[:, use].sum(1)[:, None], np.ones((len(d), 1))], axis=1).T
+            left = np.concatenate([-2 * z[:, use], np.ones((len(rows), 1)), whole], axis=1)
+        else:
+            of, right = None, np.concatenate([dz, dd, np.ones((len(d), 1))], axis=1).T
+            left = np.concatenate([-2 * z, h, whole], axis=1)
+        near = (left * factor[:, None]) @ right
+        near[shared == 0] = np.inf
+        yield rows, near, slack * factor
+
+
+def _nearest(q: np.ndarray, d: np.ndarray, of: np.ndarray, target: np.ndarray, reach: np.ndarray, k: int):
+    """The k best donors of each ask within its reach: ask, donor, distance, sorted by them.
+
+    Ask i is query row ``of[i]`` (rising) for donors with ``target[i]``. Fast distances leave out
+    the donors that cannot be among the k best; those of the others are worked out exactly.
+    Of equal distances the first donors win.
+    """
+    has = ~np.isnan(d)
+    full = has.all(0)
+    first, last = (np.searchsorted(of, np.arange(len(q)), side) for side in ("left", "right"))
+    held, done, waiting = [], [], 0
+
+    def settle() -> None:
+        ask, pos = (np.concatenate([h[i] for h in held]) for i in range(2))
+        held.clear()
+        dist = np.concatenate([_exact(q, d, of[ask[i:i + EXACT_PAIRS]], pos[i:i + EXACT_PAIRS])
+                               for i in range(0, len(ask), EXACT_PAIRS)] or [np.zeros(0)])
+        near = np.flatnonzero((dist <= reach[ask]) & np.isfinite(dist))
+        near = near[np.lexsort((pos[near], dist[near], ask[near]))]
+        ask = ask[near]
+        best = np.arange(len(ask)) - np.searchsorted(ask, ask) < k
+        done.append((ask[best], pos[near][best], dist[near][best]))
+
+    for rows, near, slack in _near_blocks(q, d):
+        count = last[rows] - first[rows]
+        at = np.repeat(np.arange(len(rows)), count)
+        asks = np.arange(len(at)) + np.repeat(first[rows] - np.cumsum(count) + count, count)
+        wants = target[asks]
+        for t in np.unique(wants):
+            mine = wants == t
+            ask, row = asks[mine], at[mine]
+            cols = None if t < 0 or full[t] else np.flatnonzero(has[:, t])
+            some = near if len(row) == len(rows) and (np.diff(row) == 1).all() else near[row]
+            if cols is not None:
+                some = some[:, cols]
+            n = some.shape[1]
+            far = reach[ask] + slack[row]
+            keep = some <= far[:, None]
+            if n >= 16 * k and np.count_nonzero(keep) > 4 * k * len(row):
+                # the k-th smallest of the minima of parts is not below the k-th smallest of all
+                parts = max(4 * k, n // 16)
+                least = some[:, :n // parts * parts].reshape(len(row), n // parts, parts).min(1)
+                kth = np.partition(least, k - 1, axis=1)[:, k - 1]
+                keep = some <= np.minimum(far, kth + 2 * slack[row])[:, None]
+            flat = np.flatnonzero(keep)
+            row = flat // max(1, n)
+            pos = flat - row * n
+            held.append((ask[row], pos if cols is None else cols[pos]))
+            waiting += len(flat)
+        if waiting >= EXACT_PAIRS:
+            settle()
+            waiting = 0
+    if held:
+        settle()
+    ask, pos, dist = (np.concatenate([f[i] for f in done]) for i in range(3))
+    by = np.argsort(ask, kind="stable")
+    return ask[by], pos[by], dist[by]
+
+
 def _best_donors(k: int, dims: int):
     """The k best donors of each query and target within one group, none beyond its reach."""
     xs = _xs(dims)
-    block = 4_000_000
 
     def best(queries, donors):
         donors = donors.sort_values("donor_key", kind="stable")
-        d = donors[xs].to_numpy(dtype="float64", na_value=np.nan)
-        has = ~np.isnan(d)
-        q = queries[xs].to_numpy(dtype="float64", na_value=np.nan)
-        number = np.repeat(np.arange(len(queries)), [len(t) for t in queries["targets"]])
+        of = np.repeat(np.arange(len(queries)), [len(t) for t in queries["targets"]])
         target = np.concatenate(queries["targets"].tolist()).astype("int64")
         reach = np.concatenate(queries["reach"].tolist()).astype("float64")
-        step = max(1, block // max(1, len(d)))
-        found = []
-        for start in range(0, len(queries), step):
-            some = q[start:start + step]
-            near = np.zeros((len(some), len(d)))
-            shared = np.zeros((len(some), len(d)), dtype="int16")
-            for i in range(dims):
-                gap = some[:, i][:, None] - d[:, i][None, :]
-                both = ~np.isnan(gap)
-                near += np.where(both, gap * gap, 0.0)
-                shared += both
-            with np.errstate(divide="ignore", invalid="ignore"):
-                near = np.where(shared > 0, near * (dims / shared), np.inf)
-            low, high = np.searchsorted(number, [start, start + len(some)])
-            for at in range(low, high, step):
-                part = slice(at, min(at + step, high))
-                acc, wants = near[number[part] - start], target[part]
-                for t in np.unique(wants[wants >= 0]):
-                    acc[np.ix_(wants == t, ~has[:, t])] = np.inf
-                take = min(k, acc.shape[1])
-                cut = np.minimum(np.partition(acc, take - 1, axis=1)[:, take - 1], reach[part])
-                row, pos = np.nonzero((acc <= cut[:, None]) & np.isfinite(acc))
-                dist = acc[row, pos]
-                # donors lie in key order, so the position decides between equal distances
-                order = np.lexsort((pos, dist, row))
-                row, pos, dist = row[order], pos[order], dist[order]
-                rank = np.arange(len(row)) - np.searchsorted(row, row)
-                keep = rank < k
-                found.append((row[keep] + at, pos[keep], dist[keep]))
-        row, pos, dist = (np.concatenate([f[i] for f in found]) for i in range(3))
-        return pd.DataFrame({"query_key": queries["query_key"].to_numpy()[number[row]], "target": target[row],
+        ask, pos, dist = _nearest(*(np.ascontiguousarray(side[xs].to_numpy(dtype="float64", na_value=np.nan))
+                                    for side in (queries, donors)), of, target, reach, k)
+        return pd.DataFrame({"query_key": queries["query_key"].to_numpy()[of[ask]], "target": target[ask],
                              "donor_key": donors["donor_key"].to_numpy()[pos], "dist2": dist,
                              "donor_id": donors["donor_id"].to_numpy()[pos]})
 

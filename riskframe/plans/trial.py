@@ -59,6 +59,8 @@ def run_trial(df: DataFrame, key: str, label: str,
     rows = stored(rows, "trial-rows")  # counted and split in several passes
     numeric, _ = split_feature_columns(rows, label, exclude=[key])
     train, test = stratified_split(rows, label, key, test_frac, seed, exact=True)
+    # each side is read in many passes, which would all draw again
+    train, test = stored(train, "trial-train"), stored(test, "trial-held-out")
     check_coverage(train, test, label)
     imputer = KnnImputer(tuple(numeric), key, k).fit(train)
     filled = stored(imputer.transform(train), "trial-filled")
