@@ -178,11 +178,10 @@ class KnnModel:
         whole, gaps = df.filter(~F.col("_lacking")).drop("_lacking"), df.filter("_lacking").drop("_lacking")
         wanted = F.filter(F.array(*(F.when(F.col(c).isNull(), F.lit(i))
                                     for i, c in enumerate(cols))), lambda i: i.isNotNull())
-        asked = gaps.select(self.key, *cols, F.explode(wanted).alias("_target"))
-        near = knn(self.index, asked, self.key, cols, target="_target")
-        donated = F.array(*(F.col(f"dx{i}") for i in range(len(cols))))[F.col("target")]
+        asked = gaps.select(self.key, *cols, wanted.alias("_targets"))
+        near = knn(self.index, asked, self.key, cols, target="_targets")
         fills = near.groupBy(F.col("query_key").alias(self.key)).agg(
-            *(F.avg(F.when(F.col("target") == i, donated)).alias(f"_fill{i}")
+            *(F.avg(F.when(F.array_contains("targets", F.lit(i)), F.col(f"dx{i}"))).alias(f"_fill{i}")
               for i in range(len(cols))))
         # only incomplete rows take part in the join
         filled = gaps.join(fills, self.key, "left")

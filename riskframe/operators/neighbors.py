@@ -17,8 +17,10 @@ How it stays exact without comparing every pair:
 
 A search ships query rows and donor rows to (cell, donor chunk, query chunk)
 groups. Both chunk counts come from counted rows, so a crowded cell is spread
-over many groups and no group outgrows its size. A query that looks for donors of several
-coordinates goes to a group once, with its targets. A group returns only the k best
+over many groups and no group outgrows its size. In step 3 a group is a pack of cells, so that a
+query with many cells to search is sent once for a pack. A query that looks for donors of several
+coordinates goes to a group once, with its targets; of coordinates that the same rows lack
+one is looked for. A group returns only the k best
 donors of each query and target within its bound, never its pairs, and their numbers
 instead of their coordinates, which are joined to the final ones. Of donors with equal coordinates only the
 k with the smallest keys can be an answer, so the others are left out first.
@@ -64,6 +66,7 @@ class DonorIndex:
     boxes: dict                  # arrays: name, mixed, has, all, n, lo, hi
     centre: tuple                # stands in for missing coordinates when placing a row
     inner: DataFrame | None = None   # cell, sub, n, lo, hi, all of the cells that are cut again
+    masks: tuple | None = None       # the patterns of all donors; none if there are too many
 
 
 def _xs(dims):
@@ -95,6 +98,7 @@ def build_index(df: DataFrame, key: str, cols: Sequence[str], k: int,
     common = masked.groupBy("mask").count().orderBy(F.desc("count"), "mask") \
         .limit(MAX_CELLS // 4 + 1).collect()
     total = sum(r["count"] for r in common)
+    every = tuple(r["mask"] for r in common) if len(common) <= MAX_CELLS // 4 else None
     if len(common) > MAX_CELLS // 4:
         total, common = masked.count(), common[:-1]
     masks = [r["mask"] for r in common]
@@ -124,9 +128,9 @@ def build_index(df: DataFrame, key: str, cols: Sequence[str], k: int,
     donors = placed.select("donor_id", "donor_key", *xs, F.concat_ws(":", "pattern", "leaf").alias("cell"))
     crowded = {name: int(n) for name, n in zip(boxes["name"], boxes["n"]) if n > 2 * cell_rows}
     if not crowded:
-        return DonorIndex(donors.withColumn("sub", F.lit(0)), dims, k, splits, boxes, centre)
+        return DonorIndex(donors.withColumn("sub", F.lit(0)), dims, k, splits, boxes, centre, None, every)
     donors, inner = _cut_again(donors, crowded, dims, cell_rows, centre, seed)
-    return DonorIndex(donors, dims, k, splits, boxes, centre, inner)
+    return DonorIndex(donors, dims, k, splits, boxes, centre, inner, every)
 
 
 def _cut_again(donors: DataFrame, crowded: dict, dims: int, cell_rows: int, centre, seed: int):
@@ -234,9 +238,8 @@ def _leaves(rows: np.ndarray, axis: np.ndarray, cut: np.ndarray, centre: np.ndar
     return at.astype("int32")
 
 
-def _box_distance(queries: np.ndarray, targets: np.ndarray, boxes: dict):
-    """Smallest possible distance of each query to each cell; inf if the cell
-    cannot serve the query.
+def _box_distance(queries: np.ndarray, boxes: dict):
+    """Smallest possible distance of each query to each cell; inf if they share no coordinate.
 
     In a cell of mixed patterns only the coordinates all its rows have count; its
     rows share at most as many coordinates with the query as the query has, which
@@ -254,11 +257,16 @@ def _box_distance(queries: np.ndarray, targets: np.ndarray, boxes: dict):
         shared += both
     with np.errstate(divide="ignore", invalid="ignore"):
         near = np.where(shared > 0, acc * (dims / shared), np.inf)
-    lacks = (targets >= 0)[:, None] & ~boxes["has"].T[np.maximum(targets, 0)]
-    near[lacks & ~mixed[None, :]] = np.inf
     own = np.maximum(1, (~np.isnan(queries)).sum(axis=1))
     near[:, mixed] = acc[:, mixed] * (dims / own)[:, None]
-    return near, mixed
+    return near
+
+
+def _serving(near: np.ndarray, targets: np.ndarray, boxes: dict) -> np.ndarray:
+    """The distances with inf where a cell has no donor of the target."""
+    lacks = (targets >= 0)[:, None] & ~boxes["has"].T[np.maximum(targets, 0)]
+    near[lacks & ~boxes["mixed"][None, :]] = np.inf
+    return near
 
 
 def _choose(near: np.ndarray, counts: np.ndarray, k: int):
@@ -275,52 +283,67 @@ VISITS_ONCE = 16_384
 _ASKED = "targets array<int>, reach array<double>, home array<boolean>"
 
 
+def _packs(boxes: dict) -> np.ndarray:
+    """Cells in succession as packs of at most ``CHUNK_ROWS`` donors: the pack of each cell."""
+    pack, filled, out = 0, 0, []
+    for n in boxes["n"].tolist():
+        if filled and filled + n > CHUNK_ROWS:
+            pack, filled = pack + 1, 0
+        filled += n
+        out.append(pack)
+    return np.array(out, dtype="int64")
+
+
 def _visits(index: DonorIndex, first: bool, query_type: str):
     """Rows to send where: each query once per cell it has to search, with its targets there.
 
     First round: the nearest cells that surely hold k usable donors. Second
     round: the cells the bound (``reach``) does not rule out and that are not
-    home, or that are home but were searched in part.
+    home, or that are home but were searched in part. Where boxes rule out little these are
+    nearly all cells, so a query goes there once for a whole pack of them, and ``cells``
+    names the cell of each target; cells that are cut again are no packs.
     """
     dims, k, boxes = index.dims, index.k, index.boxes
     xs = _xs(dims)
-    names = boxes["name"]
     again = index.inner is not None
-    step = max(1, 4_000_000 // max(1, len(names)))
+    packed = not first and not again
+    unit_of = _packs(boxes) if packed else np.arange(len(boxes["n"]))
+    names = unit_of.astype(str).astype(object) if packed else boxes["name"]
+    step = max(1, 500_000 // max(1, len(boxes["n"])))
+    lists = ["targets", "reach", "home", *(["cells"] if packed else [])]
 
     def plan(batches):
         for batch in batches:
             for start in range(0, len(batch), step):
                 part = batch.iloc[start:start + step]
                 q = part[xs].to_numpy(dtype="float64", na_value=np.nan)
-                near, mixed = _box_distance(q, part["target"].to_numpy(), boxes)
-                order, usable, home = _choose(near, np.where(mixed, 0, boxes["n"]), k)
+                asker = np.repeat(np.arange(len(part)), [len(t) for t in part["targets"]])
+                target = np.concatenate(part["targets"].tolist()).astype("int64")
+                near = _serving(_box_distance(q, boxes)[asker], target, boxes)
+                order, usable, home = _choose(near, np.where(boxes["mixed"], 0, boxes["n"]), k)
                 take = home
-                reach = np.full(len(part), np.inf)
+                reach = np.full(len(target), np.inf)
                 if not first:
-                    reach = part["reach"].to_numpy(dtype="float64", na_value=np.inf)
+                    reach = np.concatenate(part["reach"].tolist()).astype("float64")
                     inside = usable & (np.take_along_axis(near, order, 1) <= reach[:, None])
                     take = inside if again else inside & ~home
-                # rows in succession that differ in their target alone are one query
-                key = part["query_key"].to_numpy()
-                new = np.ones(len(part), bool)
-                new[1:] = (key[1:] != key[:-1]) | ~((q[1:] == q[:-1]) | (np.isnan(q[1:]) & np.isnan(q[:-1]))).all(axis=1)
-                query, heads = np.cumsum(new) - 1, np.flatnonzero(new)
-                row, col = np.nonzero(take)
-                cell, home = order[row, col], home[row, col]
-                by = np.lexsort((row, cell, query[row]))
-                row, cell, home = row[by], cell[by], home[by]
-                target, reach, of = part["target"].to_numpy()[row], reach[row], query[row]
-                edge = np.flatnonzero(np.diff(of, prepend=-1) | np.diff(cell, prepend=-1))
-                ends = np.append(edge[1:], len(row))
+                ask, col = np.nonzero(take)
+                cell, home = order[ask, col], home[ask, col]
+                by = np.lexsort((ask, cell, asker[ask]))
+                ask, cell, home = ask[by], cell[by], home[by]
+                of, unit = asker[ask], unit_of[cell]
+                edge = np.flatnonzero(np.diff(of, prepend=-1) | np.diff(unit, prepend=-1))
+                ends = np.append(edge[1:], len(ask))
+                values = {"targets": target[ask].astype("int32"), "reach": reach[ask], "home": home, "cells": cell.astype("int32")}
                 for at in range(0, len(edge), VISITS_ONCE):
                     a, b = edge[at:at + VISITS_ONCE], ends[at:at + VISITS_ONCE]
-                    out = part.iloc[heads[of[a]]][["query_key", *xs]].reset_index(drop=True)
-                    for name, values in (("targets", target), ("reach", reach), ("home", home)):
-                        out[name] = pd.Series([values[i:j] for i, j in zip(a.tolist(), b.tolist())], dtype=object)
+                    out = part.iloc[of[a]][["query_key", *xs]].reset_index(drop=True)
+                    for name in lists:
+                        out[name] = pd.Series([values[name][i:j] for i, j in zip(a.tolist(), b.tolist())], dtype=object)
                     out["cell"] = names[cell[a]]
-                    yield out[["query_key", *xs, "targets", "reach", "home", "cell"]]
-    schema = f"query_key {query_type}, " + ", ".join(f"{x} double" for x in xs) + f", {_ASKED}, cell string"
+                    yield out[["query_key", *xs, *lists, "cell"]]
+    schema = f"query_key {query_type}, " + ", ".join(f"{x} double" for x in xs) + f", {_ASKED}" \
+        + (", cells array<int>" if packed else "") + ", cell string"
     return plan, schema
 
 
@@ -354,7 +377,7 @@ def _inner_visits(index: DonorIndex, visits: DataFrame, first: bool) -> DataFram
         for start in range(0, len(queries), step):
             part = queries.iloc[start:start + step]
             q = part[xs].to_numpy(dtype="float64", na_value=np.nan)
-            near, _ = _box_distance(q, part["target"].to_numpy(), held)
+            near = _serving(_box_distance(q, held), part["target"].to_numpy(), held)
             order, usable, nearest = _choose(near, held["n"], k)
             nearest &= part["home"].to_numpy(dtype=bool)[:, None]
             if first:
@@ -500,18 +523,44 @@ def _nearest(q: np.ndarray, d: np.ndarray, of: np.ndarray, target: np.ndarray, r
     return ask[by], pos[by], dist[by]
 
 
-def _best_donors(k: int, dims: int):
-    """The k best donors of each query and target within one group, none beyond its reach."""
+def _best_donors(k: int, dims: int, lead: np.ndarray):
+    """The k best donors of each query and target within one group, none beyond its reach.
+
+    Targets with one ``lead`` have the same donors, which are looked for and returned once.
+    """
     xs = _xs(dims)
 
     def best(queries, donors):
         donors = donors.sort_values("donor_key", kind="stable")
+        q, d = (np.ascontiguousarray(side[xs].to_numpy(dtype="float64", na_value=np.nan)) for side in (queries, donors))
         of = np.repeat(np.arange(len(queries)), [len(t) for t in queries["targets"]])
         target = np.concatenate(queries["targets"].tolist()).astype("int64")
+        target = np.where(target < 0, -1, lead[target])
         reach = np.concatenate(queries["reach"].tolist()).astype("float64")
-        ask, pos, dist = _nearest(*(np.ascontiguousarray(side[xs].to_numpy(dtype="float64", na_value=np.nan))
-                                    for side in (queries, donors)), of, target, reach, k)
-        return pd.DataFrame({"query_key": queries["query_key"].to_numpy()[of[ask]], "target": target[ask],
+        packed = "cells" in queries.columns
+        cell = np.concatenate(queries["cells"].tolist()).astype("int64") if packed else np.zeros(len(of), "int64")
+        lies = donors["at"].to_numpy() if packed else np.zeros(len(d), "int64")
+        # one ask for a query, lead and cell
+        by = np.lexsort((target, of, cell))
+        new = np.ones(len(by), bool)
+        new[1:] = (np.diff(cell[by]) != 0) | (np.diff(of[by]) != 0) | (np.diff(target[by]) != 0)
+        of, target, reach, cell = (x[by[new]] for x in (of, target, reach, cell))
+        parts = []
+        for c in np.unique(cell):
+            asks, held = slice(*np.searchsorted(cell, [c, c + 1])), np.flatnonzero(lies == c)
+            if not len(held):
+                continue
+            some, row = np.unique(of[asks], return_inverse=True)
+            ask, pos, dist = _nearest(q[some], d[held], row, target[asks], reach[asks], k)
+            parts.append((of[asks][ask], target[asks][ask], held[pos], dist))
+        row, target, pos, dist = (np.concatenate([p[i] for p in parts] or [np.zeros(0, "int64")]) for i in range(4))
+        if len(parts) > 1:
+            by = np.lexsort((pos, dist, target, row))
+            row, target, pos, dist = (x[by] for x in (row, target, pos, dist))
+            ask = row * (dims + 1) + target + 1
+            keep = np.arange(len(ask)) - np.searchsorted(ask, ask) < k
+            row, target, pos, dist = (x[keep] for x in (row, target, pos, dist))
+        return pd.DataFrame({"query_key": queries["query_key"].to_numpy()[row], "target": target,
                              "donor_key": donors["donor_key"].to_numpy()[pos], "dist2": dist,
                              "donor_id": donors["donor_id"].to_numpy()[pos]})
 
@@ -522,18 +571,26 @@ def _best_donors(k: int, dims: int):
     return search
 
 
-def _chunked_outer(index: DonorIndex, visits: DataFrame):
+def _chunked_outer(donors: DataFrame, held: dict, visits: DataFrame):
     """Both sides with their chunks, and how many groups; the cells are bounded in number."""
     asked = visits.groupBy("cell").count().collect()
-    held = dict(zip(index.boxes["name"], index.boxes["n"].tolist()))
     shape = {r["cell"]: (math.ceil(held[r["cell"]] / CHUNK_ROWS), math.ceil(r["count"] / CHUNK_ROWS)) for r in asked}
     groups = sum(d * q for d, q in shape.values())
     if all(s == (1, 1) for s in shape.values()):
         one = {"dc": F.lit(0), "qc": F.lit(0)}
-        return visits.withColumns(one), index.donors.withColumns(one), groups
+        return visits.withColumns(one), donors.withColumns(one), groups
     rows = [(c, 0, d, q) for c, (d, q) in shape.items()]
     plan = F.broadcast(visits.sparkSession.createDataFrame(rows, "cell string, sub int, ndc int, nqc int"))
-    return *_dealt(visits, index.donors, plan), groups
+    return *_dealt(visits, donors, plan), groups
+
+
+def _in_packs(index: DonorIndex):
+    """The donors with their pack as cell and their cell's number, and the rows of the packs."""
+    packs = _packs(index.boxes)
+    rows = [(str(name), str(p), i) for i, (name, p) in enumerate(zip(index.boxes["name"], packs.tolist()))]
+    plan = F.broadcast(index.donors.sparkSession.createDataFrame(rows, "cell string, pack string, at int"))   # MAX_CELLS rows
+    donors = index.donors.join(plan, "cell").drop("cell").withColumnRenamed("pack", "cell")
+    return donors, {str(p): int(n) for p, n in enumerate(np.bincount(packs, index.boxes["n"]))}
 
 
 def _chunked(visits: DataFrame, donors: DataFrame):
@@ -556,23 +613,24 @@ def _dealt(visits: DataFrame, donors: DataFrame, plan: DataFrame):
     return sent, held
 
 
-def _round(index: DonorIndex, queries: DataFrame, first: bool) -> DataFrame:
+def _round(index: DonorIndex, queries: DataFrame, first: bool, lead: np.ndarray) -> DataFrame:
     k = index.k
     query_type = queries.schema["query_key"].dataType
     donor_type = index.donors.schema["donor_key"].dataType
     plan, schema = _visits(index, first, query_type.simpleString())
-    visits = stored(queries.mapInPandas(plan, schema), "visits")
+    visits = stored(queries.mapInPandas(plan, schema), "visits" if first else "pack-visits" if index.inner is None else "visits-again")
     if index.inner is not None:
         visits = stored(_inner_visits(index, visits, first), "inner-visits")
         sent, donors, groups = _chunked(visits, index.donors)
     else:
-        sent, donors, groups = _chunked_outer(index, visits.drop("home").withColumn("sub", F.lit(0)))
+        donors, held = (index.donors, dict(zip(index.boxes["name"], index.boxes["n"].tolist()))) if first else _in_packs(index)
+        sent, donors, groups = _chunked_outer(donors, held, visits.drop("home").withColumn("sub", F.lit(0)))
     out = T.StructType([T.StructField("query_key", query_type),
                         T.StructField("target", T.IntegerType()),
                         T.StructField("donor_key", donor_type),
                         T.StructField("dist2", T.DoubleType()),
                         T.StructField("donor_id", T.LongType())])
-    search = _best_donors(k, index.dims)
+    search = _best_donors(k, index.dims, lead)
     # the work of a group is far larger than its bytes, so the groups are not
     # packed by size: one task each, or a few where there are many
     cores = queries.sparkSession.sparkContext.defaultParallelism
@@ -590,32 +648,56 @@ def _top(found: DataFrame, k: int, drop_self: bool = False) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
+def _leads(index: DonorIndex, queries: DataFrame) -> list[int]:
+    """For each coordinate the first that the same donors have and the same queries look for.
+
+    Both have the same neighbours. Where patterns are too many to compare, each is its own.
+    """
+    wanted = queries.select("targets").distinct().limit(MAX_CELLS // 4 + 1).collect() if index.masks else []
+    if not index.masks or len(wanted) > MAX_CELLS // 4:
+        return list(range(index.dims))
+    sets = [set(r["targets"]) for r in wanted]
+    seen: dict = {}
+    return [seen.setdefault((tuple(m[i] for m in index.masks), tuple(i in s for s in sets)), i) for i in range(index.dims)]
+
+
 def knn(index: DonorIndex, df: DataFrame, key: str, cols: Sequence[str],
         target: str | None = None, drop_self: bool = False) -> DataFrame:
     """The nearest donors of each row of ``df``.
 
-    ``target`` names an int column holding the position of a coordinate the
-    donor must have, -1 for none. With ``drop_self`` a row is not its own
+    ``target`` names a column holding the position of a coordinate the donor must have, -1 for
+    none, or an array of positions to look for one by one; of an array those with the same
+    donors come once. With ``drop_self`` a row is not its own
     neighbour; the index must then be built with one more neighbour than wanted.
 
     Result: query_key, target, rank from 1, donor_key, dist2 (squared
-    distance) and the donor's coordinates dx0, dx1, ...
+    distance) and the donor's coordinates dx0, dx1, ...; for an array also ``targets``, the
+    positions a line stands for if its query looks for them.
     """
     xs = _xs(index.dims)
-    queries = df.select(F.col(key).alias("query_key"),
-                        (F.col(target) if target else F.lit(-1)).cast("int").alias("target"),
+    several = target is not None and isinstance(df.schema[target].dataType, T.ArrayType)
+    asked = F.col(target).cast("array<int>") if several else F.array((F.col(target) if target else F.lit(-1)).cast("int"))
+    queries = df.select(F.col(key).alias("query_key"), asked.alias("targets"),
                         *(_clean(F.col(c)).alias(x) for c, x in zip(cols, xs)))
+    lead = _leads(index, queries) if several else list(range(index.dims))
+    led = queries
+    if several:
+        first = F.array(*(F.lit(i) for i in lead))
+        led = queries.withColumn("targets", F.array_distinct(F.transform(
+            "targets", lambda t: F.when(t < 0, t).otherwise(F.get(first, t)))))
     want = index.k - 1 if drop_self else index.k
-    found = _round(index, queries, first=True)
+    found = _round(index, queries if index.inner is None else led, True, np.array(lead))
     if len(index.boxes["n"]) > 1 or index.inner is not None:
         found = stored(found, "near")
         bound = _top(found, index.k).groupBy("query_key", "target").agg(
-            F.max("dist2").alias("far"), F.count("*").alias("n"))
-        reach = queries.join(bound, ["query_key", "target"], "left").withColumn(
-            "reach", F.when(F.col("n") >= index.k, F.col("far")).otherwise(F.lit(float("inf")))) \
-            .drop("far", "n")
-        # the targets of a query side by side again, after the join
-        reach = reach.repartition("query_key").sortWithinPartitions("query_key", *xs)
-        found = found.unionByName(_round(index, reach, first=False))
+            F.max("dist2").alias("far"), F.count("*").alias("n")).filter(F.col("n") >= index.k)
+        bound = bound.groupBy("query_key").agg(F.map_from_entries(F.collect_list(F.struct("target", "far"))).alias("far"))
+        reach = led.join(bound, "query_key", "left").withColumn("reach", F.transform(
+            "targets", lambda t: F.coalesce(F.element_at("far", t), F.lit(float("inf"))))).drop("far")
+        found = found.unionByName(_round(index, reach, False, np.array(lead)))
     coords = index.donors.select("donor_id", *(F.col(x).alias(f"d{x}") for x in xs))
-    return _top(found, want, drop_self).join(coords, "donor_id").drop("donor_id")
+    near = _top(found, want, drop_self).join(coords, "donor_id").drop("donor_id")
+    if several:
+        alike = F.array(*(F.array(*(F.lit(j) for j, l in enumerate(lead) if l == i)).cast("array<int>") for i in range(index.dims)))
+        near = near.withColumn("targets", F.get(alike, F.col("target")))
+    return near
